@@ -106,8 +106,11 @@ def general_number(value: Column) -> Column:
     formatted = F.format_string("%.6g", value)
     for pattern, kept in ((r"(\.\d*?)0+(e|$)", "$1$2"), (r"\.(e|$)", "$1"), ("Infinity", "inf")):
         formatted = F.regexp_replace(formatted, pattern, kept)
-    text = F.when(
-        (F.length(plain) <= 7) & ~F.contains(plain, F.lit("E")),
-        F.regexp_replace(plain, r"\.0$", ""),
-    ).otherwise(formatted)
-    return F.coalesce(text, F.lit("nan"))
+    return (
+        F.when(value.isNull(), "nan")
+        .when(
+            (F.length(plain) <= 7) & ~F.contains(plain, F.lit("E")),
+            F.regexp_replace(plain, r"\.0$", ""),
+        )
+        .otherwise(formatted)
+    )

@@ -319,32 +319,54 @@ def driver_counts(reviewed: DataFrame) -> DataFrame:
 
 
 def recurring_drivers(results: DataFrame, limit: int = 5) -> DataFrame:
-    """The most frequent drivers named in stored summary sentences."""
-    named = results.filter(F.trim("root_cause_summary") != "")
+    """The most frequent drivers named in stored summary sentences.
+
+    Blank sentences name none, so they need no filter of their own.
+    """
     return (
-        entry_counts(named, "root_cause_summary", "driver", drivers_in_summary)
+        entry_counts(results, "root_cause_summary", "driver", drivers_in_summary)
         .orderBy(F.desc("row_count"), "driver")
         .limit(limit)
         .select(title_case(F.col("driver")).alias("driver"), "row_count")
     )
 
 
+def _analysed() -> Column:
+    return F.coalesce(F.trim("root_cause_summary") != "", F.lit(False))
+
+
 def recommendation_counts(results: DataFrame, limit: int = 5) -> DataFrame:
-    """The most frequent recommendations of rows that have an analysis."""
-    analysed = results.filter(F.trim("root_cause_summary") != "")
+    """The most frequent recommendations of rows that have an analysis.
+
+    Rows without one contribute an empty list instead of being filtered: a filter on a
+    computed text would be pushed below the projections and repeat all their work there.
+    """
+    listed = results.select(
+        F.when(_analysed(), F.col("engineering_recommendations")).alias("advice")
+    )
     return (
-        entry_counts(analysed, "engineering_recommendations", "recommendation")
+        entry_counts(listed, "advice", "recommendation")
         .orderBy(F.desc("row_count"), "recommendation")
         .limit(limit)
     )
 
 
 def representative_rows(results: DataFrame, limit: int = 5) -> DataFrame:
-    """The riskiest rows that have an analysis."""
+    """The riskiest rows that have an analysis.
+
+    Analysed rows sort first; the few rows taken are then checked.
+    """
     return (
-        results.filter(F.trim("root_cause_summary") != "")
-        .orderBy(F.desc("scrap_probability"), "part_id")
+        results.select(
+            "part_id",
+            "scrap_probability",
+            "predicted_scrap_risk",
+            "root_cause_summary",
+            _analysed().alias("analysed"),
+        )
+        .orderBy(F.desc("analysed"), F.desc("scrap_probability"), "part_id")
         .limit(limit)
+        .filter("analysed")
         .select(
             "part_id",
             percent_text(F.col("scrap_probability")).alias("risk"),
