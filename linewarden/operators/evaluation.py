@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linewarden.config import risk as cfg
 from linewarden.functions.risk import strict_band
+from linewarden.functions.text import rounded
 
 CELLS = ("true_negative", "false_positive", "false_negative", "true_positive")
 SCORES = ("accuracy", "precision", "recall", "f1_score")
@@ -27,10 +28,10 @@ def _total(condition: Column) -> Column:
 def metric_columns(tn: Column, fp: Column, fn: Column, tp: Column) -> list[Column]:
     """Accuracy, precision, recall and F1 (four decimals) followed by the four cells."""
     return [
-        F.round(ratio(tp + tn, tp + tn + fp + fn), 4).alias("accuracy"),
-        F.round(ratio(tp, tp + fp), 4).alias("precision"),
-        F.round(ratio(tp, tp + fn), 4).alias("recall"),
-        F.round(ratio(2 * tp, 2 * tp + fp + fn), 4).alias("f1_score"),
+        rounded(ratio(tp + tn, tp + tn + fp + fn), 4).alias("accuracy"),
+        rounded(ratio(tp, tp + fp), 4).alias("precision"),
+        rounded(ratio(tp, tp + fn), 4).alias("recall"),
+        rounded(ratio(2 * tp, 2 * tp + fp + fn), 4).alias("f1_score"),
         tn.alias("true_negative"),
         fp.alias("false_positive"),
         fn.alias("false_negative"),
@@ -103,9 +104,9 @@ def threshold_costs(
     alarms = F.col("false_positive") * F.lit(alarm_cost)
     return sweep.select(
         "*",
-        F.round(missed, 2).alias("missed_scrap_cost"),
-        F.round(alarms, 2).alias("false_alarm_cost"),
-        F.round(missed + alarms, 2).alias("total_cost"),
+        rounded(missed, 2).alias("missed_scrap_cost"),
+        rounded(alarms, 2).alias("false_alarm_cost"),
+        rounded(missed + alarms, 2).alias("total_cost"),
     ).orderBy("total_cost", "threshold")
 
 
@@ -180,7 +181,7 @@ def threshold_deltas(sweep: DataFrame) -> DataFrame:
         F.col("best.threshold").alias("selected_threshold"),
         "default_recall",
         F.col("best.recall").alias("selected_recall"),
-        F.round((F.col("best.recall") - F.col("default_recall")) * 100, 2).alias(
+        rounded((F.col("best.recall") - F.col("default_recall")) * 100, 2).alias(
             "recall_gain_points"
         ),
         "default_false_negative",
@@ -258,8 +259,8 @@ def risk_band_evaluation(
             "risk_band",
             F.coalesce("rows", zero).alias("row_count"),
             F.coalesce("scrap", zero).alias("actual_scrap_count"),
-            F.coalesce(F.round("rate", 4), F.lit(0.0)).alias("actual_scrap_rate"),
-            F.coalesce(F.round("risk", 4), F.lit(0.0)).alias("average_predicted_risk"),
+            F.coalesce(rounded(F.col("rate"), 4), F.lit(0.0)).alias("actual_scrap_rate"),
+            F.coalesce(rounded(F.col("risk"), 4), F.lit(0.0)).alias("average_predicted_risk"),
             "review_priority",
         )
         .orderBy("band_order")
@@ -367,9 +368,9 @@ def evaluation_summary(
     cheapest = cost_optimal_threshold(threshold_costs(sweep)).select("threshold")
     selected = selected_threshold(sweep).select("selected_threshold")
     return ranking_metrics(histogram).select(
-        F.round("roc_auc", 4).alias("roc_auc"),
-        F.round("average_precision", 4).alias("pr_auc"),
-        F.round("base_rate", 4).alias("baseline_scrap_rate"),
+        rounded(F.col("roc_auc"), 4).alias("roc_auc"),
+        rounded(F.col("average_precision"), 4).alias("pr_auc"),
+        rounded(F.col("base_rate"), 4).alias("baseline_scrap_rate"),
         selected.scalar().alias("selected_threshold"),
         cheapest.scalar().alias("cost_optimized_threshold"),
     )

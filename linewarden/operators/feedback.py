@@ -14,7 +14,7 @@ from linewarden.functions.risk import (
     feedback_priority,
     feedback_reading,
 )
-from linewarden.functions.text import as_double
+from linewarden.functions.text import as_double, rounded
 from linewarden.operators.evaluation import ratio
 from linewarden.operators.rootcause import driver_counts
 from linewarden.operators.validation import DataQualityError, duplicate_keys, require_columns
@@ -126,10 +126,10 @@ def review_effectiveness(cases: DataFrame) -> DataFrame:
         "review_required_count",
         "missed_issue_count",
         "false_alarm_count",
-        F.round(ratio(F.col("caught"), F.col("actual_issue_count")), 4).alias(
+        rounded(ratio(F.col("caught"), F.col("actual_issue_count")), 4).alias(
             "issue_capture_rate"
         ),
-        F.round(ratio(F.col("false_alarm_count"), F.col("review_required_count")), 4).alias(
+        rounded(ratio(F.col("false_alarm_count"), F.col("review_required_count")), 4).alias(
             "false_alarm_rate_among_reviews"
         ),
     )
@@ -160,8 +160,8 @@ def threshold_scenarios(
                 miss.alias("missed_issues"),
                 (F.col("n") - tp - fa - miss).alias("true_negative_monitoring"),
                 hit.alias("review_required_count"),
-                F.round(ratio(tp, F.col("issues")), 4).alias("issue_capture_rate"),
-                F.round(ratio(fa, hit), 4).alias("false_alarm_rate_among_reviews"),
+                rounded(ratio(tp, F.col("issues")), 4).alias("issue_capture_rate"),
+                rounded(ratio(fa, hit), 4).alias("false_alarm_rate_among_reviews"),
             )
         )
     return cases.agg(*sums).select(F.inline(F.array(*rows)))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from linewarden.config.production import CATEGORICAL, FEATURES, NUMERIC, TARGET
 from linewarden.functions.rules import any_true
+from linewarden.functions.text import rounded
 from linewarden.operators.evaluation import confusion_metrics
 from linewarden.sources.tables import coerce_numeric
 
@@ -199,7 +200,7 @@ def score(df: DataFrame, model: PipelineModel, decimals: int | None = 4) -> Data
     prepared = coerce_numeric(df)
     probability = vector_to_array("probability")[1]
     if decimals is not None:
-        probability = F.round(probability, decimals)
+        probability = rounded(probability, decimals)
     incomplete = any_true([F.col(c).isNull() for c in NUMERIC])
     return model.transform(prepared).select(
         *prepared.columns, F.when(~incomplete, probability).alias("scrap_probability")

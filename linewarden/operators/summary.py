@@ -16,7 +16,7 @@ from linewarden.functions.risk import (
     flag_level,
     temperature_bin,
 )
-from linewarden.functions.text import percent_value
+from linewarden.functions.text import percent_value, rounded
 from linewarden.operators.rootcause import recurring_drivers, with_flagged_causes
 from linewarden.sources.rulebook import CauseRules
 from linewarden.sources.tables import project_existing
@@ -46,10 +46,10 @@ def machine_summary(df: DataFrame) -> DataFrame:
         .agg(
             F.count("part_id").alias("total_parts"),
             F.coalesce(F.sum("scrap"), F.lit(0)).alias("scrap_parts"),
-            F.round(F.avg("scrap"), 6).alias("scrap_rate"),
-            F.round(F.avg("temperature_c"), 4).alias("avg_temperature_c"),
-            F.round(F.avg("cycle_time_s"), 4).alias("avg_cycle_time_s"),
-            F.round(F.avg("vibration_mm_s"), 4).alias("avg_vibration_mm_s"),
+            rounded(F.avg("scrap"), 6).alias("scrap_rate"),
+            rounded(F.avg("temperature_c"), 4).alias("avg_temperature_c"),
+            rounded(F.avg("cycle_time_s"), 4).alias("avg_cycle_time_s"),
+            rounded(F.avg("vibration_mm_s"), 4).alias("avg_vibration_mm_s"),
         )
         .orderBy(F.desc("scrap_rate"), "machine_id")
     )
@@ -110,7 +110,7 @@ def dataset_totals(df: DataFrame) -> DataFrame:
     return _category_groups(df, shape.CATEGORICAL).agg(
         F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("total_parts"),
         F.coalesce(F.sum("scrap"), F.lit(0).cast("long")).alias("scrap_parts"),
-        F.round(F.try_divide(F.sum("scrap").cast("double"), F.sum("known")), 6).alias(
+        rounded(F.try_divide(F.sum("scrap").cast("double"), F.sum("known")), 6).alias(
             "scrap_rate"
         ),
         F.count_distinct(machine).alias("machines"),
@@ -136,7 +136,7 @@ def highest_risk_category(df: DataFrame, column: str = "machine_id") -> DataFram
         column,
         percent_value(F.col("best")).alias("scrap_rate"),
         percent_value(F.col("overall")).alias("overall_scrap_rate"),
-        F.round((F.col("best") - F.col("overall")) * 100, 2).alias("gap_points"),
+        rounded((F.col("best") - F.col("overall")) * 100, 2).alias("gap_points"),
     )
 
 
@@ -264,7 +264,7 @@ def prediction_kpis(results: DataFrame) -> DataFrame:
     return results.agg(
         F.count(F.lit(1)).alias("total_predictions"),
         F.count_if(F.lower("predicted_scrap_risk") == "high").alias("high_risk_rows"),
-        F.round(F.avg(F.nanvl(probability, F.lit(None).cast("double"))), 6).alias(
+        rounded(F.avg(F.nanvl(probability, F.lit(None).cast("double"))), 6).alias(
             "average_predicted_risk"
         ),
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from linewarden.config import production as cfg
 from linewarden.functions.rules import any_true
-from linewarden.functions.text import LIST_SEPARATOR, as_double, is_missing
+from linewarden.functions.text import LIST_SEPARATOR, as_double, is_missing, rounded
 
 PASS, WARNING, FAIL = "PASS", "WARNING", "FAIL"
 SEVERITY = {PASS: 0, WARNING: 1, FAIL: 2}
@@ -204,7 +204,7 @@ def missing_profile(df: DataFrame) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.col(f"missing_{c}").alias("missing_count"),
-                F.round(share(c), 4).alias("missing_percentage"),
+                rounded(share(c), 4).alias("missing_percentage"),
                 _missing_status(c).alias("status"),
             )
             for c in _present(df, cfg.PRODUCTION_COLUMNS)
@@ -231,7 +231,7 @@ def target_profile(df: DataFrame) -> DataFrame:
         F.col("row_count").alias("total_rows"),
         "good_count",
         "scrap_count",
-        F.round(_scrap_rate(), 4).alias("scrap_rate"),
+        rounded(_scrap_rate(), 4).alias("scrap_rate"),
         "invalid_target",
         _target_status().alias("status"),
     )

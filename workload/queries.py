@@ -11,7 +11,13 @@ from linewarden.config import production as shape
 from linewarden.functions import risk as scales
 from linewarden.operators import compliance, evaluation, feedback, model, rootcause, summary
 from linewarden.operators import validation as quality
-from linewarden.functions.text import drivers_in_summary, join_list, percent_text, title_case
+from linewarden.functions.text import (
+    drivers_in_summary,
+    join_list,
+    percent_text,
+    rounded,
+    title_case,
+)
 from linewarden.plans import batch_review as review_plan
 from linewarden.plans import case_trace as trace_plan
 from linewarden.plans import feedback_loop as loop_plan
@@ -83,8 +89,8 @@ def scorecard_score(spark, d):
     score = scales.scorecard(intercept=views.INTERCEPT)
     return views.plain(spark, d).select(
         "part_id",
-        F.round(score, 6).alias("risk_score"),
-        F.round(scales.sigmoid(score), 4).alias("scrap_probability"),
+        rounded(score, 6).alias("risk_score"),
+        rounded(scales.sigmoid(score), 4).alias("scrap_probability"),
     )
 
 
@@ -462,25 +468,25 @@ def risk_band_eval(spark, d):
 @query
 def roc_auc(spark, d):
     ranked = evaluation.ranking_metrics(evaluation.score_histogram(views.scored(spark, d)))
-    return ranked.select(F.round("roc_auc", 6).alias("roc_auc"))
+    return ranked.select(rounded(F.col("roc_auc"), 6).alias("roc_auc"))
 
 
 @query
 def average_precision(spark, d):
     ranked = evaluation.ranking_metrics(evaluation.score_histogram(views.scored(spark, d)))
-    return ranked.select(F.round("average_precision", 6).alias("average_precision"))
+    return ranked.select(rounded(F.col("average_precision"), 6).alias("average_precision"))
 
 
 @query
 def ranking_unrounded(spark, d):
     """Both ranking metrics over scores with unbounded distinct values."""
     exact = views.production(spark, d).select(
-        "scrap", scales.sigmoid(F.round("risk_score", 9)).alias("scrap_probability")
+        "scrap", scales.sigmoid(rounded(F.col("risk_score"), 9)).alias("scrap_probability")
     )
     ranked = evaluation.ranking_metrics(evaluation.score_histogram(exact), ranges=64)
     return ranked.select(
-        F.round("roc_auc", 6).alias("roc_auc"),
-        F.round("average_precision", 6).alias("average_precision"),
+        rounded(F.col("roc_auc"), 6).alias("roc_auc"),
+        rounded(F.col("average_precision"), 6).alias("average_precision"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linewarden.config.production import PRODUCTION_COLUMNS
 from linewarden.functions.risk import scorecard, sigmoid
-from linewarden.functions.text import parse_number
+from linewarden.functions.text import parse_number, rounded
 
 INTERCEPT = -1.25
 THRESHOLD = 0.40
@@ -27,18 +27,18 @@ def _part_id(*columns: str) -> Column:
 
 
 def _readings() -> dict[str, Column]:
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     return {
         "machine_id": F.concat(F.lit("M"), (F.col("l_suppkey") % 4 + 1).cast("string")),
         "temperature_c": 172 + F.col("l_quantity") * 0.5,
-        "pressure_bar": F.round(4.9 + F.col("l_discount") * 20, 2),
-        "cycle_time_s": F.round(40 + (cents % 1500).cast("double") / 100, 2),
+        "pressure_bar": rounded(4.9 + F.col("l_discount") * 20, 2),
+        "cycle_time_s": rounded(40 + (cents % 1500).cast("double") / 100, 2),
         "shift": F.when(F.col("l_returnflag") == "A", "early")
         .when(F.col("l_returnflag") == "N", "late")
         .otherwise("night"),
         "material_batch": F.concat(F.lit("B"), (F.col("l_partkey") % 5 + 1).cast("string")),
         "operator_experience_years": (F.col("l_orderkey") % 80).cast("double") / 8,
-        "vibration_mm_s": F.round(1.5 + F.col("l_tax") * 25, 2),
+        "vibration_mm_s": rounded(1.5 + F.col("l_tax") * 25, 2),
         "humidity_percent": (35 + F.col("l_linenumber") * 5).cast("double"),
     }
 
@@ -67,7 +67,7 @@ def production(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[c for c in PRODUCTION_COLUMNS if c != "scrap"],
         F.when(F.col("luck") < F.col("raw_probability"), 1).otherwise(0).alias("scrap"),
         "risk_score",
-        F.round("raw_probability", 4).alias("scrap_probability"),
+        rounded(F.col("raw_probability"), 4).alias("scrap_probability"),
         "has_feedback",
     )
 
