@@ -20,7 +20,7 @@ from linewarden.config.production import CATEGORICAL, FEATURES, NUMERIC, TARGET
 from linewarden.functions.rules import any_true
 from linewarden.functions.text import rounded
 from linewarden.operators.evaluation import confusion_metrics
-from linewarden.sources.tables import coerce_numeric
+from linewarden.sources.tables import coerce_numeric, spread
 
 SEED = 42
 TEST_SHARE = 0.25
@@ -185,7 +185,7 @@ def fit(df: DataFrame, pipelines=None, names: Sequence[str] = (FOREST,)) -> dict
     every model passes over them many times.
     """
     prepare_checkpoints(df.sparkSession)
-    train = training_rows(df).persist()
+    train = spread(training_rows(df), *FEATURES).persist()
     try:
         rows, weights = balanced_weights(train)
         weighted = with_class_weights(train, weights)

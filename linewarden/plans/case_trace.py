@@ -106,10 +106,11 @@ def case_trace(review: DataFrame, spec: DataFrame, feedback: DataFrame) -> DataF
     """One representative case with everything known about it.
 
     The case is chosen on narrow columns; only then are the wide columns of that single
-    part fetched from the three tables. The broadcast key is one row by construction.
+    part worked out. The key enters as a scalar subquery, so the filter on it sits below
+    all projections, at the scans.
     """
-    key = F.broadcast(trace_key(review, spec, feedback))
-    chosen = [t.join(key, "part_id", "left_semi") for t in (review, spec, feedback)]
+    key = trace_key(review, spec, feedback)
+    chosen = [t.filter(F.col("part_id") == key.scalar()) for t in (review, spec, feedback)]
     traced = trace_table(*chosen).withColumn("trace_summary", trace_sentence())
     return _keep(
         traced,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from linewarden.config.production import PRODUCTION_COLUMNS
 from linewarden.functions.risk import scorecard, sigmoid
 from linewarden.functions.text import parse_number, rounded
+from linewarden.sources.tables import spread
 
 INTERCEPT = -1.25
 THRESHOLD = 0.40
@@ -22,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scan = spread(
+        table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
+    )
+    return scan.withColumn("qty", F.col("l_quantity").cast("int"))
+
+
 def _part_id(*columns: str) -> Column:
     return F.concat_ws("-", *[F.col(c).cast("string") for c in columns])
 
@@ -48,11 +56,10 @@ KEY_PARTS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 def production(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P: typed production rows with a scorecard probability and a correlated outcome."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("qty", F.col("l_quantity").cast("int"))
     hashed = (
         F.col("l_orderkey") * 7919 + F.col("l_partkey") * 104729 + F.col("l_linenumber") * 31
     ) % 10007
-    base = lines.select(
+    base = lines(spark, sf_dir).select(
         _part_id(*KEY_PARTS, "qty").alias("part_id"),
         *[c.alias(n) for n, c in _readings().items()],
         (hashed.cast("double") / 10007).alias("luck"),
@@ -119,7 +126,6 @@ def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DIRTY: every column as text, with missing, unreadable and unusual values."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("qty", F.col("l_quantity").cast("int"))
     readings = _readings()
     order = F.col("l_orderkey")
     dirty = {
@@ -136,6 +142,6 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_linenumber") % 2).cast("string")
         ),
     }
-    return lines.select(
+    return lines(spark, sf_dir).select(
         _part_id(*KEY_PARTS, "qty").alias("part_id"), *[c.alias(n) for n, c in dirty.items()]
     ).select(*PRODUCTION_COLUMNS)
