@@ -294,13 +294,14 @@ def _running_ranged(histogram: DataFrame, ranges: int) -> DataFrame:
     """The same running counts for any number of distinct scores.
 
     Scores are cut into ranges of about equal numbers of distinct values (quantiles of the
-    histogram, a fixed-size sketch). Each range is summed up within itself and shifted by
-    the totals of the ranges above it, so no task sees more than its range. The histogram
-    is read three times, hence persisted; lost blocks are recomputed from the input.
+    histogram, a fixed-size sketch of which only the cuts reach the driver). Each range is
+    summed up within itself and shifted by the totals of the ranges above it, so no task
+    sees more than its range. Ranges and totals share the histogram's exchange.
     """
-    histogram = histogram.persist()
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(histogram.approxQuantile("score", steps, 0.1 / ranges)))
+    cuts = sorted(set(histogram.approxQuantile("score", steps, 0.1 / ranges))) if steps else []
+    if not cuts:
+        return _running(histogram)
     bucketed = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range"
     ).transform(histogram)

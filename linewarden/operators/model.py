@@ -105,7 +105,7 @@ def feature_stages(scale: bool = False) -> list:
             handleInvalid="keep",
             stringOrderType="alphabetAsc",
         ),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"),
+        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
     ]
     numeric = list(NUMERIC)
     if scale:
