@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linewarden.config import risk as cfg
 from linewarden.functions.risk import strict_band
-from linewarden.functions.text import rounded
+from linewarden.functions.text import as_double, parse_number, rounded
 
 CELLS = ("true_negative", "false_positive", "false_negative", "true_positive")
 SCORES = ("accuracy", "precision", "recall", "f1_score")
@@ -197,6 +198,24 @@ def threshold_deltas(sweep: DataFrame) -> DataFrame:
     )
 
 
+def stored_threshold(payload: DataFrame) -> DataFrame:
+    """The threshold held by a stored one-row result, whichever of its known shapes it has.
+
+    Looked for as `threshold`, `selected_threshold` and `cost_optimized_threshold.threshold`,
+    in this order; values that are no numbers are passed over.
+    """
+    found = [as_double(payload, c) for c in ("threshold", "selected_threshold") if c in payload.columns]
+    nested = "cost_optimized_threshold"
+    if nested in payload.columns and isinstance(payload.schema[nested].dataType, T.StructType):
+        inner = payload.select(f"{nested}.*")
+        if "threshold" in inner.columns:
+            text = F.col(f"{nested}.threshold").cast("string")
+            found.append(parse_number(text))
+    if not found:
+        found = [F.lit(None).cast("double")]
+    return payload.select(F.coalesce(*found).alias("threshold")).limit(1)
+
+
 def review_threshold_choice(
     cost_optimal: DataFrame | None, selected: DataFrame | None, spark=None
 ) -> DataFrame:
@@ -205,8 +224,10 @@ def review_threshold_choice(
     Each source is a one-row table (or None, or empty) and enters as a scalar subquery.
     """
     missing = F.lit(None).cast("double")
-    first = cost_optimal.select("threshold").scalar() if cost_optimal is not None else missing
-    second = selected.select("selected_threshold").scalar() if selected is not None else missing
+    first, second = (
+        missing if source is None else stored_threshold(source).scalar()
+        for source in (cost_optimal, selected)
+    )
     source = cost_optimal if cost_optimal is not None else selected
     spark = spark or source.sparkSession
     return (

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linewarden.config import production as shape
-from linewarden.functions.risk import decision_reason, review_decision, risk_level, scorecard, sigmoid
+from linewarden.functions.risk import (
+    decision_reason,
+    review_decision,
+    risk_level,
+    scorecard,
+    sigmoid,
+)
 from linewarden.functions.text import rounded
 from linewarden.operators.rootcause import driver_counts, with_root_causes
 from linewarden.operators.summary import value_counts
-from linewarden.operators.validation import require_columns, require_numbers
+from linewarden.operators.validation import require_columns, require_numbers, scoring_warnings
 from linewarden.sources.rulebook import CauseRules
 from linewarden.sources.tables import coerce_numeric, require_rows
 
@@ -79,3 +88,33 @@ def decision_counts(reviewed: DataFrame) -> DataFrame:
 
 def risk_level_counts(reviewed: DataFrame) -> DataFrame:
     return value_counts(reviewed, "risk_level")
+
+
+@dataclass(frozen=True)
+class BatchReview:
+    """Lazy tables of one review; reading one runs only what it needs."""
+
+    results: DataFrame
+    summary: DataFrame
+    warnings: DataFrame
+
+
+def review_job(
+    batch: DataFrame,
+    threshold: DataFrame | float,
+    score: Callable[[DataFrame], DataFrame] = with_scorecard,
+    rules: CauseRules | None = None,
+) -> BatchReview:
+    """Gate, score and review a batch.
+
+    `score` adds `scrap_probability`, for instance a fitted model; `threshold` is a number
+    or the one-row table of the threshold choice, whose value enters as a scalar subquery.
+    """
+    require_scoring_batch(batch)
+    cut = (
+        threshold.select("review_threshold").scalar()
+        if isinstance(threshold, DataFrame)
+        else threshold
+    )
+    results = batch_review(score(batch), cut, rules)
+    return BatchReview(results, review_summary(results), scoring_warnings(batch))

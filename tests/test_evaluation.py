@@ -59,6 +59,19 @@ def test_threshold_choice(sweep, spark):
     assert pick(None, None) == (0.5, "fallback_0_50")
 
 
+def test_stored_threshold_shapes(spark):
+    shapes = {
+        '{"threshold": "0.35"}': 0.35,
+        '{"threshold": "none", "selected_threshold": 0.25}': 0.25,
+        '{"cost_optimized_threshold": {"threshold": 0.45, "total_cost": 1}}': 0.45,
+        '{"cost_optimized_threshold": 0.4}': None,
+    }
+    for text_, expected in shapes.items():
+        schema = spark.range(1).select(F.schema_of_json(F.lit(text_))).first()[0]
+        payload = spark.range(1).select(F.from_json(F.lit(text_), schema).alias("j")).select("j.*")
+        assert ev.stored_threshold(payload).first().threshold == expected
+
+
 def test_selection_without_target(sweep):
     low = sweep.withColumn("recall", F.col("recall") / 2)
     row = ev.selected_threshold(low).first()

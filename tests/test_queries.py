@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as driver
 
 FOLDER = "/root/testdata/sf0.001"
-MODELS = {"scored_batch", "feature_importance", "model_evaluation", "model_comparison"}
+MODELS = {"scored_batch", "feature_importance", "model_evaluation", "model_comparison", "best_model"}
 NAMES = sorted(set(driver.queries()) - MODELS)
 
 

@@ -912,3 +912,14 @@ ORACLE["workflow_overview"] = f"""WITH {CASE}, {RAW.replace(P, '').lstrip(',')},
       CAST(round(fa / CAST(tp + fa AS DOUBLE), 4) AS VARCHAR) FROM e
   )
   SELECT * FROM cards"""
+
+ORACLE["review_with_chosen_threshold"] = f"""WITH {SWEEP},
+  cut AS (SELECT threshold FROM cheapest),
+  levelled AS (SELECT *, {LEVEL} AS risk_level FROM p),
+  {causes('levelled', 'lower(risk_level)')}
+  SELECT part_id, scrap_probability, threshold AS review_threshold,
+    CASE WHEN scrap_probability >= threshold OR risk_level = 'High'
+        THEN 'ENGINEERING_REVIEW_REQUIRED'
+      WHEN risk_level = 'Medium' THEN 'ADDITIONAL_MONITORING'
+      ELSE 'STANDARD_MONITORING' END AS review_decision, root_cause_summary
+  FROM caused, cut"""

@@ -335,6 +335,20 @@ def batch_review(spark, d):
     return reviewed(spark, d)
 
 
+@query
+def review_with_chosen_threshold(spark, d):
+    """The review job on the threshold chosen from the same table's outcomes."""
+    score = lambda df: review_plan.with_scorecard(
+        df, scales.scorecard(intercept=views.INTERCEPT)
+    )
+    choice = QUERIES["review_threshold_choice"](spark, d)
+    job = review_plan.review_job(views.plain(spark, d).drop("scrap"), choice, score)
+    return job.results.select(
+        "part_id", "scrap_probability", "review_threshold", "review_decision",
+        "root_cause_summary",
+    )
+
+
 @query
 def review_summary(spark, d):
     return review_plan.review_summary(reviewed(spark, d))
@@ -692,3 +706,10 @@ def model_evaluation(spark, d):
 def model_comparison(spark, d):
     names = [model.LOGISTIC, model.FOREST, model.BOOSTING]
     return model.model_comparison(views.plain(spark, d), fitted(spark, d, names))
+
+
+@query
+def best_model(spark, d):
+    names = [model.LOGISTIC, model.FOREST, model.BOOSTING]
+    table = views.plain(spark, d)
+    return model.best_models(model.model_comparison(table, fitted(spark, d, names)))
