@@ -105,12 +105,13 @@ def trace_sentence() -> Column:
 def case_trace(review: DataFrame, spec: DataFrame, feedback: DataFrame) -> DataFrame:
     """One representative case with everything known about it.
 
-    The case is chosen on narrow columns; only then are the wide columns of that single
-    part worked out. The key enters as a scalar subquery, so the filter on it sits below
-    all projections, at the scans.
+    The case is chosen on narrow columns by a first job that brings one key back. Only
+    then are the wide columns of that part worked out, with the key as a plain filter that
+    reaches all three scans.
     """
-    key = trace_key(review, spec, feedback)
-    chosen = [t.filter(F.col("part_id") == key.scalar()) for t in (review, spec, feedback)]
+    key = trace_key(review, spec, feedback).first()
+    wanted = F.col("part_id") == F.lit(key.part_id if key else None).cast("string")
+    chosen = [t.filter(wanted) for t in (review, spec, feedback)]
     traced = trace_table(*chosen).withColumn("trace_summary", trace_sentence())
     return _keep(
         traced,

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# The JVM compiles no method above 8000 bytes; longer generated code would be interpreted.
-# With this limit Spark falls back to its split, compilable projections instead.
-HUGE_METHOD_LIMIT = "8000"
+# Setting -> (stock value, wanted value).
+SETTINGS = {
+    # The JVM compiles no method above 8000 bytes; longer generated code would be interpreted.
+    # With this limit Spark falls back to its split, compilable projections instead.
+    "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
+    # Recording the Python line of every Column call doubles the time a plan of many rules
+    # takes to build. Read once per process, at the first Column call.
+    "spark.python.sql.dataFrameDebugging.enabled": ("true", "false"),
+}
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a running session; values chosen by the user stay."""
-    defaults = {"spark.sql.codegen.hugeMethodLimit": ("65535", HUGE_METHOD_LIMIT)}
-    for name, (stock, wanted) in defaults.items():
-        if spark.conf.get(name, stock) == stock:
+    for name, (stock, wanted) in SETTINGS.items():
+        if spark.conf.get(name, stock) == stock and spark.conf.isModifiable(name):
             spark.conf.set(name, wanted)
     return spark
