@@ -28,7 +28,7 @@ LLM_ORACLE: dict[str, str] = {
             SELECT documents.doc_id, text, string_split(text, chr(10)) AS pieces, cut
             FROM documents LEFT JOIN decided USING (doc_id)
         ), kept AS (
-            SELECT *, list_filter(pieces, x -> NOT list_contains(cut, trim(x, {BLANKS}))) AS stays FROM cleaned
+            SELECT *, list_filter(pieces, lambda x: NOT list_contains(cut, trim(x, {BLANKS}))) AS stays FROM cleaned
         )
         SELECT doc_id,
             CASE WHEN cut IS NULL THEN text ELSE array_to_string(stays, chr(10)) END AS text,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewarden.llm import simhash, spread, toxicity
+from linewarden.llm import latent, pieces, simhash, spread, toxicity
 from linewarden.llm.common import in_fold, table
 
 
@@ -15,6 +15,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return latent.contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pieces.encoded(spark, F.col("text")).alias("found"))
+    return found.select("doc_id", "found.ids", F.size("found.ids").cast("long").alias("n_tokens"), "found.restored")
+
+
 def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = spread.without_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return cleaned.select("doc_id", "text", "lines_removed")
@@ -32,6 +43,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_latent": op4_latent,
+    "op8_pieces": op8_pieces,
     "op9_line_spread": op9_line_spread,
     "op10_toxicity": op10_toxicity,
 }
