@@ -2,12 +2,42 @@
 
 from __future__ import annotations
 
+from linewarden.llm.ledger import MEASURES, RULES
 from linewarden.llm.spread import MIN_SITES, MOST_REMOVED
 
 #: The blanks that are cut from the ends of a line.
 BLANKS = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
 
+WORDS = r"[^\x20\x09-\x0D]+"
+
 LLM_ORACLE: dict[str, str] = {
+    "op2_ledger": rf"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS row, doc_id, text, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS words,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORDS}')) AS lines
+            FROM documents
+        ), places AS (
+            SELECT row, words, unnest(range(1, len(words) - 1)) AS spot FROM texts WHERE len(words) >= 3
+        ), windows AS (
+            SELECT row, spot, count(*) OVER (PARTITION BY row, words[spot], words[spot + 1], words[spot + 2]) AS times FROM places
+        ), covered AS (
+            SELECT row, count(DISTINCT spot + k) AS n FROM windows, range(3) AS shift(k) WHERE times > 1 GROUP BY row
+        ), measured AS (
+            SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS word_chars,
+                length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+                len(lines) AS n_lines,
+                len(list_filter(words, lambda w: regexp_matches(w, '[A-Z][^a-z]*[A-Z]') AND NOT regexp_matches(w, '[a-z]'))) AS n_capital_words,
+                len(list_filter(words, lambda w: regexp_matches(w, '[A-Za-z]|[^\x00-\x7F]'))) AS n_letter_words
+            FROM texts LEFT JOIN covered USING (row)
+        ), judged AS (
+            SELECT *, {" + ".join(f"CASE WHEN {c} THEN {1 << i} ELSE 0 END" for i, c in enumerate(RULES.values()))} AS failures
+            FROM measured
+        )
+        SELECT doc_id, {", ".join(f"CAST({m} AS BIGINT) AS {m}" for m in MEASURES)}, CAST(failures AS BIGINT) AS failures,
+            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, failures = 0 AS kept
+        FROM judged
+    """,
     "op9_line_spread": f"""
         WITH lines AS (
             SELECT doc_id, coalesce(source, '') AS site, trim(piece, {BLANKS}) AS line

@@ -31,12 +31,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stands between words in an index; no character.
 GAP = 0x110000
 #: Distinct words whose ids a task keeps.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
 KEPT_PAIRS = 1_000_000
 #: Slots of the table of answers about pairs of pieces, a power of two.
 SLOTS = 1 << 20
 #: Words that are gathered before they are indexed, and characters of one index.
-NEW_WORDS, INDEXED = 300_000, 4_000_000
+NEW_WORDS, INDEXED = 100_000, 1_000_000
 SPACED = re.compile(" +[^ ]*")
 
 

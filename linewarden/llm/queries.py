@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewarden.llm import latent, pieces, simhash, spread, toxicity
+from linewarden.llm import families, ftrl, latent, ledger, pieces, simhash, spread, toxicity
 from linewarden.llm.common import in_fold, table
 
 
+def op2_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = ledger.ledger(table(spark, sf_dir, "documents"))
+    return entries.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~ledger.passes(ledger.BASE)).alias("base_failed"), ledger.passes(ledger.POLICIES["v3"]).alias("kept"),
+        "n_lines", "n_capital_words", "n_letter_words", "failures",
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -20,6 +29,21 @@ def op4_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op5_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ftrl.add_score(docs, ftrl.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op7_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = families.add_language(docs.select("doc_id", "text"), families.fit(docs))
+    return found.select("doc_id", in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "found.lang_pred", "found.score")
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = docs.select("doc_id", pieces.encoded(spark, F.col("text")).alias("found"))
@@ -42,8 +66,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ledger": op2_ledger,
     "op3_simhash": op3_simhash,
     "op4_latent": op4_latent,
+    "op5_ftrl": op5_ftrl,
+    "op7_families": op7_families,
     "op8_pieces": op8_pieces,
     "op9_line_spread": op9_line_spread,
     "op10_toxicity": op10_toxicity,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -28,6 +29,41 @@ def combined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed(left * np.uint64(BASE) + (right ^ (right >> np.uint64(32))) + np.uint64(0x2545F4914F6CDD1D))
 
 
+@dataclass
+class Spans:
+    """Words of some texts: `raw[starts[i] : ends[i]]` with its hash; a text's words and bytes by `bounds`, `firsts`."""
+
+    raw: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    bounds: np.ndarray
+    firsts: np.ndarray
+
+    def in_words(self, wanted: np.ndarray) -> np.ndarray:
+        """For each word how many of its bytes a table of 256 flags marks."""
+        total = np.zeros(len(self.raw) + 1, np.int32)
+        np.cumsum(wanted[self.raw], out=total[1:])
+        return total[self.ends] - total[self.starts]
+
+    def owners(self) -> np.ndarray:
+        """The text of each word."""
+        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+
+    def per_text(self, values: np.ndarray) -> np.ndarray:
+        """Sum over the words of each text."""
+        total = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
+        np.cumsum(values, out=total[1:])
+        return total[self.bounds[1:]] - total[self.bounds[:-1]]
+
+
+def marks(characters: bytes) -> np.ndarray:
+    """A table of 256 flags for these bytes."""
+    table = np.zeros(256, bool)
+    table[np.frombuffer(characters, np.uint8)] = True
+    return table
+
+
 class WordHasher:
     """64-bit hashes of words, which are runs of bytes other than separators, with A-Z (and À-Þ) lower-cased.
 
@@ -71,6 +107,11 @@ class WordHasher:
         return np.concatenate(found), np.cumsum(counts)
 
     def _hashed(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.spans(texts)
+        return found.hashes, found.bounds
+
+    def spans(self, texts: Sequence[bytes]) -> Spans:
+        """Hash and place of every word; the texts are held as one run of bytes with a separator around each."""
         gap = bytes([int(np.flatnonzero(self.separates)[0])])
         raw = np.frombuffer(gap + gap.join(texts) + gap, np.uint8)
         self._reach(len(raw))
@@ -80,12 +121,10 @@ class WordHasher:
         codes = self.codes[raw]
         if self.latin:
             after = np.flatnonzero(raw[:-1] == 0xC3) + 1
-            capital = after[(raw[after] >= 0x80) & (raw[after] <= 0x9E)]
-            codes = codes.copy()
-            codes[capital] += 32
+            codes[after[(raw[after] >= 0x80) & (raw[after] <= 0x9E)]] += 32
         total = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * self.powers[: len(raw)], out=total[1:])
         hashes = mixed((total[ends] - total[starts]) * self.inverses[starts])
         firsts = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=firsts[1:])
-        return hashes, np.searchsorted(starts, firsts + 1)
+        return Spans(raw, starts, ends, hashes, np.searchsorted(starts, firsts + 1), firsts + 1)
