@@ -58,7 +58,7 @@ def has_letter(text: bytes) -> bool:
 
 
 def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the byte runs at each place, a column for each length, and where texts start and the last ends."""
+    """Buckets of the byte runs at each place, a row for each length, and where texts start and the last ends."""
     codes = CODES[np.frombuffer(b" " + b" ".join(texts) + b"     ", np.uint8)].astype(np.uint32)
     n = sum(len(t) + 1 for t in texts)
     key, columns = codes[:n], []
@@ -69,20 +69,23 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             columns.append((spread >> np.uint32(21)).astype(np.int32))
     firsts = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=firsts[1:])
-    return np.stack(columns, axis=1), firsts
+    return np.stack(columns), firsts
+
+
+def text_shares(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """The share of each bucket in every text's runs."""
+    rows, firsts = runs(texts)
+    for start, stop in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+        yield np.bincount(rows[:, start:stop].ravel(), minlength=BUCKETS) / (len(RUNS) * (stop - start))
 
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def shares(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The share of each bucket in a text's runs."""
     for batch in batches:
-        out = []
         texts = as_bytes(batch)
-        for a, b in steps(texts):
-            rows, firsts = runs(texts[a:b])
-            for start, stop in zip(firsts[:-1], firsts[1:], strict=True):
-                out.append(np.bincount(rows[start:stop].ravel(), minlength=BUCKETS) / max(1, rows[start:stop].size))
-        yield pa.array(out, pa.list_(pa.float64()))
+        found = [share for a, b in steps(texts) for share in text_shares(texts[a:b])]
+        yield pa.array(found, pa.list_(pa.float64()))
 
 
 @dataclass
@@ -118,14 +121,8 @@ class LanguageModel:
     offsets: np.ndarray
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
-        rows, firsts = runs(texts)
-        each = np.zeros((len(rows) + 1, len(self.offsets)))
-        for at in range(0, len(rows), 1 << 18):
-            part = self.weights[rows[at : at + (1 << 18)]].sum(1)
-            each[at + 1 : at + 1 + len(part)] = part
-        np.cumsum(each, axis=0, out=each)
-        sizes = np.maximum(np.diff(firsts) * len(RUNS), 1)
-        margins = (each[firsts[1:]] - each[firsts[:-1]]) / sizes[:, None] + self.offsets
+        margins = np.array([share @ self.weights for share in text_shares(texts)]).reshape(-1, len(self.offsets))
+        margins += self.offsets
         chosen, certain = self.top.votes(margins)
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         for number, name in enumerate(self.top.classes):
@@ -176,7 +173,7 @@ def fit(docs: DataFrame, folds: int = 4, held: int = 2, rows: int = SAMPLE_ROWS)
         within = {name: choice({language: [language] for language in own}) for name, own in by_family.items()}
     finally:
         known.unpersist()
-    table = np.array(weights, np.float32).reshape(-1, BUCKETS).T
+    table = np.array(weights).reshape(-1, BUCKETS).T
     return LanguageModel(top, within, np.ascontiguousarray(table), np.array(offsets))
 
 

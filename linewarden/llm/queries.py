@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewarden.llm import families, ftrl, latent, ledger, pieces, simhash, spread, toxicity
+from linewarden.llm import families, ftrl, latent, ledger, pieces, pseudonym, simhash, spread, toxicity
 from linewarden.llm.common import in_fold, table
 
 
+#: Key of the registered query only; a real corpus takes a secret one.
+SAMPLE_KEY = b"registered query"
+
+
+def op1_pseudonym(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pseudonym.pseudonymised(F.col("text"), SAMPLE_KEY).alias("found"))
+    return found.select("doc_id", "found.text", "found.spans", F.size("found.spans").cast("long").alias("n_replaced"))
+
+
 def op2_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = ledger.ledger(table(spark, sf_dir, "documents"))
     return entries.select(
@@ -66,6 +76,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pseudonym": op1_pseudonym,
     "op2_ledger": op2_ledger,
     "op3_simhash": op3_simhash,
     "op4_latent": op4_latent,
