@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewarden.llm import families, ftrl, latent, ledger, pieces, pseudonym, simhash, spread, toxicity
+from linewarden.llm import automaton, families, ftrl, latent, ledger, pieces, pseudonym, simhash, spread, toxicity
 from linewarden.llm.common import in_fold, table
 
 
@@ -48,6 +48,15 @@ def op5_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = automaton.scored(docs, automaton.trained_on(F.col("doc_id")))
+    return found.select(
+        "doc_id", in_fold(F.col("doc_id"), 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 def op7_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = families.add_language(docs.select("doc_id", "text"), families.fit(docs))
@@ -81,6 +90,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_latent": op4_latent,
     "op5_ftrl": op5_ftrl,
+    "op6_automaton": op6_automaton,
     "op7_families": op7_families,
     "op8_pieces": op8_pieces,
     "op9_line_spread": op9_line_spread,
