@@ -31,12 +31,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stands between words in an index; no character.
 GAP = 0x110000
 #: Distinct words whose ids a task keeps.
-KEPT_WORDS = 300_000
-KEPT_PAIRS = 1_000_000
+KEPT_WORDS = 250_000
+KEPT_PAIRS = 500_000
 #: Slots of the table of answers about pairs of pieces, a power of two.
 SLOTS = 1 << 20
 #: Words that are gathered before they are indexed, and characters of one index.
-NEW_WORDS, INDEXED = 100_000, 1_000_000
+NEW_WORDS, INDEXED = 60_000, 700_000
 SPACED = re.compile(" +[^ ]*")
 
 
@@ -79,16 +79,17 @@ def load(path: str = MODEL) -> Vocabulary:
 
 def merged(text: str, scores: dict[str, float]) -> list[str]:
     """BPE of a short text: the best-scored neighbours join, the leftmost of equals first."""
+    never = float("-inf")
     symbols = list(text)
-    while len(symbols) > 1:
-        best, at = None, -1
-        for i in range(len(symbols) - 1):
-            score = scores.get(symbols[i] + symbols[i + 1])
-            if score is not None and (best is None or score > best):
-                best, at = score, i
-        if best is None:
-            break
+    gains = [scores.get(a + b, never) for a, b in zip(symbols, symbols[1:], strict=False)]
+    while gains and (best := max(gains)) > never:
+        at = gains.index(best)
         symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        del gains[at]
+        if at > 0:
+            gains[at - 1] = scores.get(symbols[at - 1] + symbols[at], never)
+        if at < len(gains):
+            gains[at] = scores.get(symbols[at] + symbols[at + 1], never)
     return symbols
 
 
@@ -129,35 +130,41 @@ class Encoder:
             ranks = np.unique(key, return_inverse=True)[1].astype(np.int64) + 1
             most = int(ranks.max()) + 1
 
-    def ranges(self, text: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each piece the first suffix that starts with it, and the end of their range, by binary search."""
+    def ranges(self, text: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces whose characters all occur, for each the first suffix that starts with it, and their end."""
+        occurs = np.zeros(GAP + 2, bool)
+        occurs[text] = occurs[-1] = True
+        kept = np.flatnonzero(occurs[self.spellings].all(axis=1))
+        spellings, lengths = self.spellings[kept], self.lengths[kept]
         padded = np.concatenate([text, np.full(self.longest, GAP, np.int32)])
         offsets = np.arange(self.longest)
-        inside = offsets < self.lengths[:, None]
+        inside = offsets < lengths[:, None]
         found = []
         for above in (False, True):
-            low, high = np.zeros(len(self.lengths), np.int64), np.full(len(self.lengths), len(order), np.int64)
+            low, high = np.zeros(len(kept), np.int64), np.full(len(kept), len(order), np.int64)
             while (open_ := np.flatnonzero(low < high)).size:
                 middle = (low[open_] + high[open_]) // 2
+                wanted = spellings[open_]
                 here = padded[order[middle][:, None] + offsets]
-                differs = (here != self.spellings[open_]) & inside[open_]
+                differs = (here != wanted) & inside[open_]
                 first = differs.argmax(axis=1)
                 rows = np.arange(len(open_))
-                less = differs[rows, first] & (here[rows, first] < self.spellings[open_][rows, first])
-                onward = less | (~differs.any(axis=1) if above else False)
+                differ = differs[rows, first]
+                less = differ & (here[rows, first] < wanted[rows, first])
+                onward = less | (~differ if above else False)
                 low[open_] = np.where(onward, middle + 1, low[open_])
                 high[open_] = np.where(onward, high[open_], middle)
             found.append(low)
-        return found[0], found[1]
+        return kept, found[0], found[1]
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, length, piece) of every occurrence; a character that is no piece stands for itself."""
         order = self.suffixes(text)
-        low, high = self.ranges(text, order)
+        kept, low, high = self.ranges(text, order)
         counts = high - low
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         starts = order[np.repeat(low, counts) + within]
-        pieces, lengths = np.repeat(self.piece_ids, counts), np.repeat(self.lengths, counts)
+        pieces, lengths = np.repeat(self.piece_ids[kept], counts), np.repeat(self.lengths[kept], counts)
         alone = text != GAP
         alone[starts[lengths == 1]] = False
         odd = np.flatnonzero(alone)
@@ -272,11 +279,11 @@ class Encoder:
             return [w[1:] for w in SPACED.findall(marked)]
         return marked[1:].split(" ")
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each step over the texts: the number of ids of every text, and all ids in order."""
-        spans = list(steps(texts, STEP_CHARS))
+    def encode(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Steps over the texts: which texts, the number of ids of each, and all their ids in order."""
         if len(self.numbers) > KEPT_WORDS:
             self.numbers, self.firsts, self.flat = {}, np.zeros(1, np.int64), np.zeros(0, np.int32)
+        spans = list(steps(texts, STEP_CHARS))
         new: set[str] = set()
         for a, b in spans:
             new.update(chain.from_iterable(map(self.words, texts[a:b])))
@@ -284,7 +291,6 @@ class Encoder:
                 self.learn_new(new)
                 new = set()
         self.learn_new(new)
-        out = []
         for a, b in spans:
             split = [self.words(t) for t in texts[a:b]]
             numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64)
@@ -294,9 +300,7 @@ class Encoder:
             ids = self.flat[np.arange(total) + np.repeat(self.firsts[numbers] - (ends - counts), counts)]
             bounds = np.zeros(len(split) + 1, np.int64)
             np.cumsum([len(ws) for ws in split], out=bounds[1:])
-            reached = np.concatenate([[0], ends])[bounds]
-            out.append((np.diff(reached), ids))
-        return out
+            yield a, b, np.diff(np.concatenate([[0], ends])[bounds]), ids
 
 
 def spell(ids: list[int], spelled: tuple[bytes, ...]) -> str:
@@ -304,6 +308,7 @@ def spell(ids: list[int], spelled: tuple[bytes, ...]) -> str:
     return b"".join(map(spelled.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
+STRUCT = pa.struct([("ids", pa.list_(pa.int32())), ("restored", pa.bool_())])
 ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("restored", T.BooleanType())])
 
 
@@ -326,20 +331,18 @@ def encoded(spark: SparkSession, text: Column, path: str = MODEL) -> Column:
         encoder = _encoder(shared)
         spelled = shared.value.spelled
         for batch in batches:
+            if not len(batch):
+                yield pa.array([], STRUCT)
             texts = [t or "" for t in batch.to_pylist()]
-            counts, ids, restored, at = [], [], [], 0
-            for sizes, flat in encoder.encode(texts):
-                counts.append(sizes)
-                ids.append(flat)
-                begin = 0
-                for end in np.cumsum(sizes).tolist():
-                    restored.append(spell(flat[begin:end].tolist(), spelled) == texts[at].replace(MARK, " "))
-                    begin, at = end, at + 1
-            offsets = np.zeros(len(texts) + 1, np.int32)
-            offsets[1:] = np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts]))
-            values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
-            lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-            yield pa.StructArray.from_arrays([lists, pa.array(restored, pa.bool_())], ["ids", "restored"])
+            for a, b, sizes, ids in encoder.encode(texts):
+                offsets = np.zeros(b - a + 1, np.int32)
+                offsets[1:] = np.cumsum(sizes)
+                restored = [
+                    spell(ids[begin:end].tolist(), spelled) == text.replace(MARK, " ")
+                    for text, begin, end in zip(texts[a:b], offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                ]
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+                yield pa.StructArray.from_arrays([lists, pa.array(restored, pa.bool_())], ["ids", "restored"])
 
     return encode(text.cast("string"))
 
