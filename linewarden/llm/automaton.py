@@ -79,13 +79,24 @@ def shard_starts(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes by significance, so that the zeros of small ones lie together and compress away."""
+    width = values.dtype.itemsize
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def packed(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, their bytes by significance, so that the leading zeros lie together."""
-    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Sorted keys as differences."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
 
 
 def walk(block: Block, counts: np.ndarray, total: int, types: int) -> np.ndarray:
@@ -170,12 +181,12 @@ def scored(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str
             "shard": pa.array(sent, pa.int64()),
             "block": pa.array([table.column("block")[0].as_py()] * len(sent), pa.int64()),
             "keys": pa.array([packed(block.keys[p]) for p in parts], pa.binary()),
-            "counts": pa.array([block.own[p].astype(np.int32).tobytes() for p in parts], pa.binary()),
+            "counts": pa.array([planes(block.own[p].astype(np.uint32)) for p in parts], pa.binary()),
         })
 
     def answer(table: pa.Table) -> pa.Table:
         keys = [unpacked(k) for k in table.column("keys").to_pylist()]
-        own = [np.frombuffer(c, np.int32) for c in table.column("counts").to_pylist()]
+        own = [from_planes(c, np.uint32) for c in table.column("counts").to_pylist()]
         found, which = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(which, weights=np.concatenate(own), minlength=len(found)).astype(np.int64)[which]
         told: dict[str, list] = {"block": [], "shard": [], "at": [], "totals": []}
@@ -187,8 +198,8 @@ def scored(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str
             if len(at):
                 told["block"].append(block)
                 told["shard"].append(table.column("shard")[0].as_py())
-                told["at"].append(np.diff(at, prepend=0).astype(np.int32).tobytes())
-                told["totals"].append(totals[at].tobytes())
+                told["at"].append(planes(np.diff(at, prepend=0).astype(np.uint32)))
+                told["totals"].append(planes(totals[at]))
         kinds = {"block": pa.int64(), "shard": pa.int64(), "at": pa.binary(), "totals": pa.binary()}
         return pa.table({k: pa.array(v, kinds[k]) for k, v in told.items()})
 
@@ -196,7 +207,7 @@ def scored(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str
         block = Block.of(*_read(table))
         counts, starts = block.own.astype(np.int64), shard_starts(block.keys, shards)
         for shard, at, totals in zip(*(answers.column(c).to_pylist() for c in ("shard", "at", "totals")), strict=True):
-            counts[starts[shard] + np.cumsum(np.frombuffer(at, np.int32), dtype=np.int64)] = np.frombuffer(totals, np.int64)
+            counts[starts[shard] + np.cumsum(from_planes(at, np.uint32), dtype=np.int64)] = from_planes(totals, np.int64)
         mine = counts[block.words]
         base = np.log10((mine + 1.0) / (total + types + 1))
         log = walk(block, counts, total, types)
