@@ -13,8 +13,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +23,8 @@ from linewarden.llm.common import as_bytes, in_fold, steps
 BUCKETS, SAMPLE_ROWS = 2048, 500
 RUNS = (2, 3, 4)
 UNKNOWN = "und"
-ROUNDS = 20
+#: Passes over the rows of a pair, and the most that one row may weigh.
+ROUNDS, PENALTY = 20, 1.0
 
 # Families of language codes. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -79,13 +78,27 @@ def text_shares(texts: list[bytes]) -> Iterator[np.ndarray]:
         yield np.bincount(rows[:, start:stop].ravel(), minlength=BUCKETS) / (len(RUNS) * (stop - start))
 
 
-@F.arrow_udf(T.ArrayType(T.DoubleType()))
-def shares(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """The share of each bucket in a text's runs."""
-    for batch in batches:
-        texts = as_bytes(batch)
-        found = [share for a, b in steps(texts) for share in text_shares(texts[a:b])]
-        yield pa.array(found, pa.list_(pa.float64()))
+def machine(rows: np.ndarray, signs: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and offset of a linear support vector machine, by dual coordinate descent in a fixed order.
+
+    Buckets are scaled by their deviation for the training, and the weights back again.
+    """
+    scale = rows.std(axis=0)
+    scale = np.where(scale > 0, 1 / np.maximum(scale, 1e-12), 0)
+    points = rows * scale
+    sizes = (points**2).sum(axis=1) + 1
+    order = np.random.default_rng(0).permutation(len(rows))
+    weights, offset, given = np.zeros(rows.shape[1]), 0.0, np.zeros(len(rows))
+    for _ in range(ROUNDS):
+        for i in order:
+            slope = signs[i] * (points[i] @ weights + offset) - 1
+            fresh = min(max(given[i] - slope / sizes[i], 0.0), PENALTY)
+            if fresh != given[i]:
+                step = (fresh - given[i]) * signs[i]
+                weights += step * points[i]
+                offset += step
+                given[i] = fresh
+    return weights * scale, offset
 
 
 @dataclass
@@ -137,6 +150,7 @@ class LanguageModel:
 def fit(docs: DataFrame, folds: int = 4, held: int = 2, rows: int = SAMPLE_ROWS) -> LanguageModel | None:
     """Learns `lang` from the texts of about `rows` documents of each language at most, outside the held-out fold.
 
+    Every pair of classes is one group of bounded size; the pairs train side by side.
     None without a document that has a language, an id and a letter.
     """
     fair = docs.where(
@@ -147,34 +161,49 @@ def fit(docs: DataFrame, folds: int = 4, held: int = 2, rows: int = SAMPLE_ROWS)
         return None
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lang")), F.lit(1_000_000))
     bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(1_000_000 * rows / n) + 1)])
-    sample = fair.where(place < bound[F.col("lang")]).select("text", "lang").repartition(6)
-    known = sample.select("lang", array_to_vector(shares(F.col("text").cast("string"))).alias("features")).persist()
-    weights: list[np.ndarray] = []
-    offsets: list[float] = []
+    sample = fair.where(place < bound[F.col("lang")]).select("lang", F.col("text").cast("string").alias("text")).repartition(6)
+    by_family: dict[str, list[str]] = {}
+    for language in sorted(counts):
+        by_family.setdefault(family(language), []).append(language)
+    sides: list[tuple[list[str], list[str]]] = []
 
     def choice(groups: dict[str, list[str]]) -> Choice:
         names = sorted(groups)
-        made = Choice(names, list(combinations(range(len(names)), 2)), len(offsets))
-        for i, j in made.pairs:
-            ours, theirs = groups[names[i]], groups[names[j]]
-            label = F.col("lang").isin(ours).cast("double").alias("label")
-            machine = LinearSVC(maxIter=ROUNDS, regParam=0.001).fit(
-                known.where(F.col("lang").isin(ours + theirs)).select(label, "features")
-            )
-            weights.append(machine.coefficients.toArray())
-            offsets.append(machine.intercept)
+        made = Choice(names, list(combinations(range(len(names)), 2)), len(sides))
+        sides.extend((groups[names[i]], groups[names[j]]) for i, j in made.pairs)
         return made
 
-    try:
-        by_family: dict[str, list[str]] = {}
-        for language in sorted(counts):
-            by_family.setdefault(family(language), []).append(language)
-        top = choice(by_family)
-        within = {name: choice({language: [language] for language in own}) for name, own in by_family.items()}
-    finally:
-        known.unpersist()
-    table = np.array(weights).reshape(-1, BUCKETS).T
-    return LanguageModel(top, within, np.ascontiguousarray(table), np.array(offsets))
+    top = choice(by_family)
+    within = {name: choice({language: [language] for language in own}) for name, own in by_family.items()}
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            languages, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
+            for a, b in steps(texts):
+                out: dict[str, list] = {"pair": [], "sign": [], "shares": []}
+                for language, share in zip(languages[a:b], text_shares(texts[a:b]), strict=True):
+                    for number, both in enumerate(sides):
+                        for sign, own in zip((1, -1), both, strict=True):
+                            if language in own:
+                                out["pair"].append(number)
+                                out["sign"].append(sign)
+                                out["shares"].append(share.astype(np.float32).tobytes())
+                yield pa.RecordBatch.from_pydict(out, pa.schema([("pair", pa.int64()), ("sign", pa.int64()), ("shares", pa.binary())]))
+
+    def trained(table: pa.Table) -> pa.Table:
+        each = sorted(zip(table.column("shares").to_pylist(), table.column("sign").to_pylist(), strict=True))
+        points = np.array([np.frombuffer(x, np.float32) for x, _ in each], float)
+        weights, offset = machine(points, np.array([s for _, s in each], float))
+        return pa.table({"pair": table.column("pair")[:1], "weights": pa.array([weights.tobytes()], pa.binary()), "offset": pa.array([offset])})
+
+    machines = (
+        sample.mapInArrow(dealt, "pair long, sign long, shares binary")
+        .groupBy("pair").applyInArrow(trained, "pair long, weights binary, offset double")
+    )
+    table, offsets = np.zeros((len(sides), BUCKETS)), np.zeros(len(sides))
+    for r in machines.collect() if sides else []:
+        table[r.pair], offsets[r.pair] = np.frombuffer(r.weights), r.offset
+    return LanguageModel(top, within, np.ascontiguousarray(table.T), offsets)
 
 
 def add_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
