@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from math import log10
 from random import Random
 
+import duckdb
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
@@ -13,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from linewarden.llm import automaton, families, ftrl, latent, ledger, pieces, pseudonym, simhash, spread, tokens
+from linewarden.llm.oracle import LLM_ORACLE
 from linewarden.llm.queries import LLM_QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -324,3 +326,28 @@ def test_pipeline_is_its_stages(spark):
         docs = found
     rows = {r.doc_id: r.ids for r in pipeline.run(spark, DATA).collect()}
     assert rows == {i: r.ids for i, r in after.items()}
+
+
+@pytest.mark.parametrize("name", sorted(LLM_ORACLE))
+def test_query_against_sql(spark, name):
+    database = duckdb.connect()
+    database.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    df = LLM_QUERIES[name](spark, DATA)
+    relation = database.sql(LLM_ORACLE[name])
+    assert sorted(relation.columns) == sorted(df.columns)
+    expected = sorted(tuple(r) for r in relation.select(", ".join(df.columns)).fetchall())
+    assert sorted(tuple(r) for r in df.collect()) == expected
+
+
+def test_line_dedup_stays_in_the_engine(spark):
+    plan = LLM_QUERIES["op9_line_spread"](spark, DATA)._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_registered():
+    import __spark_entry__ as driver
+
+    queries = driver.queries()
+    for number in range(1, 11):
+        assert sum(name.startswith(f"op{number}_") for name in queries) == 1
+    assert "pipeline" in queries and set(LLM_ORACLE) <= set(driver.oracle_sql())
