@@ -40,9 +40,11 @@ MONITORING_RANGES = {
     "vibration_mm_s": (0, 6),
     "humidity_percent": (0, 100),
 }
+# Shares and rates that the checks tolerate.
 MISSING_SHARE_TOLERATED = 0.05
 SCRAP_RATE_EXPECTED = (0.03, 0.25)
 
+# Columns of stored review results and of feedback.
 REVIEW_COLUMNS = (
     "part_id",
     "scrap_probability",

@@ -11,8 +11,14 @@ from pyspark.sql import functions as F
 from linewarden.config import risk as cfg
 
 
+def known(value: Column) -> Column:
+    """The value with NaN as null, since Spark orders NaN above every number."""
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+
+
 def _by_cuts(value: Column, cuts: Sequence[tuple[str, float]], lowest: str) -> Column:
     """Label of the first cut (highest first) that `value` reaches; null falls to lowest."""
+    value = known(value)
     name, cut = cuts[0]
     label = F.when(value >= cut, name)
     for name, cut in cuts[1:]:
@@ -22,6 +28,7 @@ def _by_cuts(value: Column, cuts: Sequence[tuple[str, float]], lowest: str) -> C
 
 def _by_ranges(value: Column, ranges: Sequence[tuple]) -> Column:
     """Label of the half-open range [lower, upper) holding `value`, else null."""
+    value = known(value)
     return F.coalesce(
         *[F.when((value >= low) & (value < high), label) for label, low, high, *_ in ranges]
     )
@@ -46,7 +53,7 @@ def strict_band(probability: Column, bands=cfg.BANDS) -> Column:
 
 
 def export_flag(probability: Column, threshold: float) -> Column:
-    return F.when(probability >= threshold, "High").otherwise("Low")
+    return F.when(known(probability) >= threshold, "High").otherwise("Low")
 
 
 def confidence(probability: Column) -> Column:
@@ -61,7 +68,7 @@ def temperature_bin(temperature: Column) -> Column:
 
 def review_decision(probability: Column, level: Column, threshold: Column) -> Column:
     return (
-        F.when((probability >= threshold) | (level == "High"), cfg.REVIEW)
+        F.when((known(probability) >= known(threshold)) | (level == "High"), cfg.REVIEW)
         .when(level == "Medium", cfg.WATCH)
         .otherwise(cfg.ROUTINE)
     )
@@ -69,7 +76,7 @@ def review_decision(probability: Column, level: Column, threshold: Column) -> Co
 
 def decision_reason(probability: Column, level: Column, threshold: Column) -> Column:
     return (
-        F.when(probability >= threshold, cfg.REASON_THRESHOLD)
+        F.when(known(probability) >= known(threshold), cfg.REASON_THRESHOLD)
         .when(level == "High", cfg.REASON_HIGH)
         .when(level == "Medium", cfg.REASON_MEDIUM)
         .otherwise(cfg.REASON_LOW)
@@ -91,10 +98,6 @@ def feedback_class(decision: Column, actual: Column) -> Column:
     return outcome_class(decision == cfg.REVIEW, actual)
 
 
-def scenario_class(probability: Column, actual: Column, threshold: float) -> Column:
-    return outcome_class(probability >= threshold, actual)
-
-
 def feedback_priority(outcome: Column) -> Column:
     return _lookup(outcome, cfg.FEEDBACK_PRIORITY)
 

@@ -7,7 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linewarden.config.production import LIMIT_LABELS, SEVERITY_LABELS, SIGNAL_LABELS
+from linewarden.config.production import (
+    LIMIT_LABELS,
+    SEVERITY_LABELS,
+    SIGNAL_LABELS,
+    SIGNAL_UNITS,
+)
 from linewarden.functions.rules import (
     WORD,
     count_true,
@@ -112,25 +117,23 @@ def with_compliance(df: DataFrame, limits: Sequence[Limit] | None = None) -> Dat
     )
 
 
-def violation_counts(df: DataFrame, limits: Sequence[Limit] | None = None) -> DataFrame:
-    """Rows violating each limit, most frequent first; limits never violated are left out.
+def _limit_sums(
+    df: DataFrame, limits: Sequence[Limit]
+) -> tuple[list[Column], list[Column]]:
+    """Conditional sums of the rows violating each limit, and a record of each over those sums.
 
-    One fused pass of conditional sums; the attributes ride along as literals, so there is
-    neither an explode nor a join. A limit id used twice counts under its last definition.
+    A limit id used twice counts under its last definition.
     """
-    flags = _flags(df, limits or load_limits())
+    flags = _flags(df, limits)
     last = {limit.id: limit for limit, _ in flags}
-    totals = {
-        limit_id: count_true([flag for limit, flag in flags if limit.id == limit_id])
-        for limit_id in last
-    }
-    sums = df.agg(
-        *[
-            F.coalesce(F.sum(total.cast("long")), F.lit(0).cast("long")).alias(f"n{i}")
-            for i, total in enumerate(totals.values())
-        ]
-    )
-    rows = [
+    sums = [
+        F.coalesce(
+            F.sum(count_true([f for limit, f in flags if limit.id == limit_id]).cast("long")),
+            F.lit(0).cast("long"),
+        ).alias(f"n{i}")
+        for i, limit_id in enumerate(last)
+    ]
+    records = [
         F.struct(
             F.lit(limit.id).alias("requirement_id"),
             F.lit(limit.parameter).alias("parameter"),
@@ -139,13 +142,52 @@ def violation_counts(df: DataFrame, limits: Sequence[Limit] | None = None) -> Da
         )
         for i, limit in enumerate(last.values())
     ]
+    return sums, records
+
+
+def violation_counts(df: DataFrame, limits: Sequence[Limit] | None = None) -> DataFrame:
+    """Rows violating each limit, most frequent first; limits never violated are left out.
+
+    One fused pass of conditional sums; the attributes ride along as literals, so there is
+    neither an explode nor a join.
+    """
+    sums, records = _limit_sums(df, limits or load_limits())
     return (
-        sums.select(F.inline(F.array(*rows)))
+        df.agg(*sums)
+        .select(F.inline(F.array(*records)))
         .filter(F.col("violation_count") > 0)
         .orderBy(F.desc("violation_count"), "requirement_id")
     )
 
 
+def compliance_totals(df: DataFrame, limits: Sequence[Limit] | None = None) -> DataFrame:
+    """One row from one aggregate: rows, rows per status, and the violated limits, most frequent first."""
+    limits = limits or load_limits()
+    checked = with_compliance(df, limits)
+    sums, records = _limit_sums(checked, limits)
+    status = F.col("spec_compliance_status")
+    ordered = F.array_sort(
+        F.transform(
+            F.filter(F.array(*records), lambda r: r["violation_count"] > 0),
+            lambda r: F.struct(
+                (-r["violation_count"]).alias("order"), r["requirement_id"].alias("requirement_id"),
+                r["parameter"].alias("parameter"), r["severity"].alias("severity"),
+                r["violation_count"].alias("violation_count"),
+            ),
+        )
+    )
+    return checked.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.count_if(status == s).alias(s.lower()) for s in STATUSES],
+        *sums,
+    ).select(
+        "row_count",
+        *[s.lower() for s in STATUSES],
+        F.lit(len(limits)).alias("requirement_count"),
+        ordered.alias("violations_by_requirement"),
+    )
+
+
 def top_violated(df: DataFrame, limits: Sequence[Limit] | None = None) -> DataFrame:
     return violation_counts(df, limits).limit(1)
 
@@ -186,11 +228,12 @@ def limits_table(spark, limits: Sequence[Limit] | None = None) -> DataFrame:
                 limit.parameter,
                 signal_label(limit.parameter),
                 severity_label(limit.severity),
+                SIGNAL_UNITS.get(limit.parameter, ""),
             )
             for limit in {limit.id: limit for limit in limits or load_limits()}.values()
         ],
         "requirement_id string, label string, signal string, signal_label string, "
-        "severity_label string",
+        "severity_label string, signal_unit string",
     )
 
 

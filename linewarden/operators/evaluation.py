@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linewarden.config import risk as cfg
-from linewarden.functions.risk import strict_band
-from linewarden.functions.text import as_double, parse_number, rounded
+from linewarden.functions.risk import known, strict_band
+from linewarden.functions.text import array_rounded, as_double, parse_number, rounded
 
 CELLS = ("true_negative", "false_positive", "false_negative", "true_positive")
+#: Ranges into which probabilities are cut for running sums.
+RANGES = 1024
 SCORES = ("accuracy", "precision", "recall", "f1_score")
 
 
@@ -69,16 +70,16 @@ def threshold_sweep(
     from the totals. `weight` sweeps a table that holds counts instead of single rows.
     """
     one = F.col(weight) if weight else F.lit(1).cast("long")
-    issue, known = F.col(label) == 1, F.col(label).isNotNull()
+    issue, labelled = F.col(label) == 1, F.col(label).isNotNull()
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, one)), F.lit(0).cast("long"))
 
-    sums = [total(known).alias("n"), total(issue).alias("pos")]
+    sums = [total(labelled).alias("n"), total(issue).alias("pos")]
     for i, threshold in enumerate(thresholds):
-        reached = F.col(probability) >= threshold
+        reached = known(F.col(probability)) >= threshold
         sums += [
-            total(reached & known).alias(f"hit{i}"),
+            total(reached & labelled).alias(f"hit{i}"),
             total(reached & issue).alias(f"tp{i}"),
         ]
     rows = []
@@ -105,9 +106,9 @@ def threshold_costs(
     alarms = F.col("false_positive") * F.lit(alarm_cost)
     return sweep.select(
         "*",
-        rounded(missed, 2).alias("missed_scrap_cost"),
-        rounded(alarms, 2).alias("false_alarm_cost"),
-        rounded(missed + alarms, 2).alias("total_cost"),
+        array_rounded(missed, 2).alias("missed_scrap_cost"),
+        array_rounded(alarms, 2).alias("false_alarm_cost"),
+        array_rounded(missed + alarms, 2).alias("total_cost"),
     ).orderBy("total_cost", "threshold")
 
 
@@ -294,41 +295,24 @@ def score_histogram(
     """Positives and negatives per distinct score: (score, pos, neg)."""
     issue = F.col(label) == 1
     return (
-        df.filter(F.col(probability).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(probability).alias("score"))
+        df.filter(known(F.col(probability)).isNotNull() & F.col(label).isNotNull())
+        .groupBy(known(F.col(probability)).alias("score"))
         .agg(_total(issue).alias("pos"), _total(~issue).alias("neg"))
     )
 
 
 def _running(histogram: DataFrame) -> DataFrame:
-    """Histogram with the positives and negatives scored at least as high."""
-    down = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return histogram.select(
-        "pos",
-        "neg",
-        F.sum("pos").over(down).alias("tp"),
-        F.sum("neg").over(down).alias("fp"),
-    )
-
-
-def _running_ranged(histogram: DataFrame, ranges: int) -> DataFrame:
-    """The same running counts for any number of distinct scores.
+    """Histogram with the positives and negatives scored at least as high, for any number of scores.
 
-    Scores are cut into ranges of about equal numbers of distinct values (quantiles of the
-    histogram, a fixed-size sketch of which only the cuts reach the driver). Each range is
-    summed up within itself and shifted by the totals of the ranges above it, so no task
-    sees more than its range. Ranges and totals share the histogram's exchange.
+    Scores fall into RANGES equal ranges of [0, 1] and one beyond each end. Each range is summed up within itself
+    and shifted by the totals of the ranges above it, so no task sees more than its range. What is broadcast is one
+    row for each range. The range is a function of the score alone, so that both uses of it agree.
     """
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(histogram.approxQuantile("score", steps, 0.1 / ranges))) if steps else []
-    if not cuts:
-        return _running(histogram)
-    bucketed = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range"
-    ).transform(histogram)
-    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    number = F.width_bucket("score", F.lit(0.0), F.lit(1.0), F.lit(RANGES))
+    dealt = histogram.withColumn("range", -number)
+    above = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        bucketed.groupBy("range")
+        dealt.groupBy("range")
         .agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
         .select(
             "range",
@@ -341,8 +325,7 @@ def _running_ranged(histogram: DataFrame, ranges: int) -> DataFrame:
         .orderBy(F.desc("score"))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    # One row per range, so at most `ranges` rows are broadcast.
-    return bucketed.join(F.broadcast(shifts), "range").select(
+    return dealt.join(F.broadcast(shifts), "range").select(
         "pos",
         "neg",
         (F.sum("pos").over(down) + F.col("pos_above")).alias("tp"),
@@ -350,15 +333,13 @@ def _running_ranged(histogram: DataFrame, ranges: int) -> DataFrame:
     )
 
 
-def ranking_metrics(histogram: DataFrame, ranges: int | None = None) -> DataFrame:
+def ranking_metrics(histogram: DataFrame) -> DataFrame:
     """ROC-AUC and average precision of a score histogram, one row.
 
     ROC-AUC gives half credit to ties. Average precision is the sum of recall steps times
-    precision, not the trapezoid under the precision-recall curve. Without `ranges` the
-    running sums use one task, which fits scores rounded to four decimals (at most 10,001
-    distinct values); pass `ranges` for scores with unbounded distinct values.
+    precision, not the trapezoid under the precision-recall curve.
     """
-    running = _running(histogram) if ranges is None else _running_ranged(histogram, ranges)
+    running = _running(histogram)
     before = F.col("tp") - F.col("pos")
     return running.agg(
         F.sum(F.col("neg") * (before + F.col("pos") / 2)).alias("area"),

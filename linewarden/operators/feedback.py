@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linewarden.config import production as shape
@@ -13,6 +13,7 @@ from linewarden.functions.risk import (
     feedback_class,
     feedback_priority,
     feedback_reading,
+    known,
 )
 from linewarden.functions.text import as_double, rounded
 from linewarden.operators.evaluation import ratio
@@ -37,28 +38,55 @@ def require_feedback(review: DataFrame, feedback: DataFrame) -> None:
     require_columns(review, shape.REVIEW_COLUMNS, "Review results")
     require_columns(feedback, shape.FEEDBACK_COLUMNS, "Feedback")
     for df, label in ((feedback, "Feedback"), (review, "Review results")):
-        repeated = [str(r[KEY]) for r in duplicate_keys(df).orderBy(KEY).limit(10).collect()]
-        if repeated:
-            raise DataQualityError(f"{label} repeats {KEY} values: {', '.join(repeated)}")
-    wrong = invalid_labels(feedback).select("actual_scrap").distinct().limit(10).collect()
-    if wrong:
-        shown = ", ".join(str(r.actual_scrap) for r in wrong)
-        raise DataQualityError(f"Feedback has invalid actual_scrap values: {shown}")
+        repeated = duplicate_keys(df).select(F.col(KEY).cast("string").alias("x")).distinct()
+        _refuse(repeated, f"{label} repeats {KEY} values")
+    wrong = invalid_labels(feedback).select(F.col("actual_scrap").cast("string").alias("x")).distinct()
+    _refuse(wrong, "Feedback has invalid actual_scrap values")
+
+
+def _refuse(values: DataFrame, problem: str, shown: int = 10) -> None:
+    """Raise with how many values there are and the first few of them, if there are any."""
+    first = [str(r.x) for r in values.orderBy("x").limit(shown).collect()]
+    if first:
+        raise DataQualityError(f"{problem} ({values.count()}): {', '.join(first)}")
+
+
+def unique_by_key(df: DataFrame, label: str) -> DataFrame:
+    """The table itself; reading it fails where two rows share a key.
+
+    Copies are counted within the exchange that a join on the key needs anyway. Null keys never join and may repeat.
+    """
+    copies = "_copies_of_key"
+    counted = df.withColumn(copies, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
+    single = F.col(KEY).isNull() | (F.col(copies) == 1)
+    message = F.concat(F.lit(f"{label} repeats {KEY} "), KEY)
+    return counted.filter(F.assert_true(single, message).isNull()).drop(copies)
+
+
+def outcome_label(feedback: DataFrame) -> Column:
+    """0 or 1; reading any other outcome fails."""
+    value = as_double(feedback, "actual_scrap")
+    shown = F.coalesce(F.col("actual_scrap").cast("string"), F.lit("nothing"))
+    wrong = F.raise_error(F.concat(F.lit("Feedback has an invalid actual_scrap value: "), shown))
+    return F.when(value.isin(0.0, 1.0), value.cast("int")).otherwise(wrong.cast("int"))
 
 
 def feedback_cases(review: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Review results with their feedback, classified.
+    """Review results with their feedback, classified; one to one.
 
-    A plain equi-join: neither side has a size bound, so the join strategy is left to the
-    planner. Columns present on both sides get the suffixes `_x` and `_y`.
+    A repeated key on either side or an outcome other than 0 and 1 fails the read. The probability and the threshold
+    become numbers, null where they can't. A plain equi-join: neither side has a size bound, so the join strategy
+    is left to the planner. Columns present on both sides get the suffixes `_x` and `_y`.
     """
     clash = (set(review.columns) & set(feedback.columns)) - {KEY}
-    left = review.withColumn(KEY, _key(review)).withColumnsRenamed(
-        {c: f"{c}_x" for c in clash}
-    )
-    outcome = as_double(feedback, "actual_scrap").cast("int")
-    right = feedback.withColumns(
-        {KEY: _key(feedback), "actual_scrap": outcome}
+    numbers = {
+        c: as_double(review, c) for c in ("scrap_probability", "review_threshold") if c in review.columns
+    }
+    left = unique_by_key(
+        review.withColumns({KEY: _key(review), **numbers}), "Review results"
+    ).withColumnsRenamed({c: f"{c}_x" for c in clash})
+    right = unique_by_key(
+        feedback.withColumns({KEY: _key(feedback), "actual_scrap": outcome_label(feedback)}), "Feedback"
     ).withColumnsRenamed({c: f"{c}_y" for c in clash})
     return with_feedback_class(left.join(right, KEY, "inner"))
 
@@ -143,8 +171,8 @@ def threshold_scenarios(
     sums = [F.count_if(issue).alias("issues"), F.count(F.lit(1)).alias("n")]
     rows = []
     for i, threshold in enumerate(thresholds):
-        reached = F.col("scrap_probability") >= threshold
-        below = F.col("scrap_probability") < threshold
+        reached = known(F.col("scrap_probability")) >= threshold
+        below = known(F.col("scrap_probability")) < threshold
         sums += [
             F.count_if(reached & issue).alias(f"tp{i}"),
             F.count_if(reached & clean).alias(f"fa{i}"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import warnings
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from linewarden.config.production import CATEGORICAL, FEATURES, NUMERIC, TARGET
 from linewarden.functions.rules import any_true
-from linewarden.functions.text import rounded
+from linewarden.functions.text import array_rounded
 from linewarden.operators.evaluation import confusion_metrics
-from linewarden.sources.tables import coerce_numeric, spread
+from linewarden.sources.tables import coerce_numeric
 
 SEED = 42
 TEST_SHARE = 0.25
@@ -57,19 +57,19 @@ def split_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def prepare_checkpoints(spark: SparkSession) -> None:
-    """Let iterative training cut its lineage.
+def prepare_checkpoints(spark: SparkSession, folder: str | None = None) -> None:
+    """Let iterative training cut its lineage in a shared folder.
 
-    The shared folder named in `spark.checkpoint.dir` is used. Only a local session without
-    that setting gets a temporary folder; a cluster without it trains without checkpoints.
+    It is the folder given, else the one named in `spark.checkpoint.dir`. With neither, training keeps its whole
+    lineage and says so.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
+    if folder is None and context.getCheckpointDir() is not None:
         return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="linewarden-checkpoint-")
-    if folder is not None:
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        warnings.warn("spark.checkpoint.dir is not set: boosting keeps its whole lineage", stacklevel=3)
+    else:
         context.setCheckpointDir(folder)
 
 
@@ -171,21 +171,31 @@ def candidate_pipelines(rows: int, forest: dict | None = None, boosting: dict |
 def training_rows(df: DataFrame) -> DataFrame:
     """Complete, labelled rows of the training side."""
     labelled = coerce_numeric(df).filter(F.col(TARGET).isin(0, 1) & ~is_test(F.col("part_id")))
-    return labelled.select(*FEATURES, TARGET).dropna(subset=list(NUMERIC))
+    return complete(labelled.select(*FEATURES, TARGET))
 
 
 def test_rows(df: DataFrame) -> DataFrame:
     return coerce_numeric(df).filter(is_test(F.col("part_id")))
 
 
-def fit(df: DataFrame, pipelines=None, names: Sequence[str] = (FOREST,)) -> dict[str, PipelineModel]:
+def complete(df: DataFrame) -> DataFrame:
+    """Rows with every reading: only they are trained on, scored and counted in a comparison."""
+    return df.dropna(subset=list(NUMERIC))
+
+
+def fit(
+    df: DataFrame,
+    pipelines=None,
+    names: Sequence[str] = (FOREST,),
+    checkpoints: str | None = None,
+) -> dict[str, PipelineModel]:
     """Fit the named models on the training side of `df`.
 
     `pipelines(rows)` gives the candidates. The training rows are read once and kept, since
-    every model passes over them many times.
+    every model passes over them many times. `checkpoints` is a folder that all executors share.
     """
-    prepare_checkpoints(df.sparkSession)
-    train = spread(training_rows(df), *FEATURES).persist()
+    prepare_checkpoints(df.sparkSession, checkpoints)
+    train = training_rows(df).persist()
     try:
         rows, weights = balanced_weights(train)
         weighted = with_class_weights(train, weights)
@@ -200,7 +210,7 @@ def score(df: DataFrame, model: PipelineModel, decimals: int | None = 4) -> Data
     prepared = coerce_numeric(df)
     probability = vector_to_array("probability")[1]
     if decimals is not None:
-        probability = rounded(probability, decimals)
+        probability = array_rounded(probability, decimals)
     incomplete = any_true([F.col(c).isNull() for c in NUMERIC])
     return model.transform(prepared).select(
         *prepared.columns, F.when(~incomplete, probability).alias("scrap_probability")
@@ -235,25 +245,105 @@ def feature_importance(model: PipelineModel, limit: int | None = None) -> DataFr
     return ranked if limit is None else ranked.limit(limit)
 
 
+def compared(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+    """(model, label, prediction, probability) of every complete, labelled test row and model, from one scan.
+
+    The models run one after the other over the same rows, each under column names of its own.
+    """
+    scored = complete(test_rows(df).filter(F.col(TARGET).isin(0, 1)))
+    kept = [TARGET]
+    scored = scored.select(*FEATURES, TARGET)
+    for i, model in enumerate(models.values()):
+        given = vector_to_array("probability")[1].alias(f"probability_{i}")
+        scored = model.transform(scored).select(
+            *FEATURES, *kept, F.col("prediction").alias(f"prediction_{i}"), given
+        )
+        kept += [f"prediction_{i}", f"probability_{i}"]
+    rows = [
+        F.struct(
+            F.lit(name).alias("model"),
+            F.col(TARGET).alias("label"),
+            F.col(f"prediction_{i}").alias("prediction"),
+            F.col(f"probability_{i}").alias("probability"),
+        )
+        for i, name in enumerate(models)
+    ]
+    return scored.select(F.inline(F.array(*rows)))
+
+
 def model_comparison(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
-    """Test-side metrics of every model, best first, from one job over all of them."""
-    test = test_rows(df).filter(F.col(TARGET).isin(0, 1))
-    scored = None
-    for name, model in models.items():
-        part = model.transform(test).select(F.lit(name).alias("model"), TARGET, "prediction")
-        scored = part if scored is None else scored.unionByName(part)
-    return confusion_metrics(scored, "prediction", TARGET, by=["model"]).orderBy(
+    """Test-side metrics of every model, best first, from one scan of the test rows."""
+    return confusion_metrics(compared(df, models), "prediction", "label", by=["model"]).orderBy(
         F.desc("f1_score"), F.desc("recall"), F.desc("precision"), "model"
     )
 
 
 def best_models(comparison: DataFrame, production: str = FOREST) -> DataFrame:
-    """The best model by F1 and the model kept for production."""
+    """The best model by F1 and the model kept for production, from one pass over the comparison."""
     metrics = ("model", "accuracy", "precision", "recall", "f1_score")
-    best = comparison.orderBy(
-        F.desc("f1_score"), F.desc("recall"), F.desc("precision"), "model"
-    ).limit(1)
-    kept = comparison.filter(F.col("model") == production)
-    return best.select(F.lit("best_by_f1").alias("role"), *metrics).unionByName(
-        kept.select(F.lit("production").alias("role"), *metrics)
+    row = F.struct(*metrics)
+    # The first name wins among equals, so the order of names is turned round.
+    backwards = F.transform(F.split("model", ""), lambda c: -F.ascii(c))
+    rank = F.struct("f1_score", "recall", "precision", backwards)
+    both = comparison.agg(
+        F.max_by(row, rank).alias("best"),
+        F.max(F.when(F.col("model") == production, row)).alias("kept"),
+    )
+    roles = F.array(
+        F.struct(F.lit("best_by_f1").alias("role"), "best.*"),
+        F.struct(F.lit("production").alias("role"), "kept.*"),
+    )
+    return both.select(F.inline(roles)).filter(F.col("model").isNotNull())
+
+
+def training_profile(df: DataFrame) -> DataFrame:
+    """(kind, name, value): what the pipelines learn from the training side before any model.
+
+    Rows and weight of each class, rows of each category indicator, mean and sample deviation of each scaled reading.
+    """
+    rows = training_rows(df)
+    count = F.count(F.lit(1)).cast("double")
+    whole = rows.agg(
+        count.alias("n"),
+        *[F.count_if(F.col(TARGET) == k).cast("double").alias(f"class_{k}") for k in (0, 1)],
+        *[F.avg(c).alias(f"mean_{c}") for c in NUMERIC],
+        *[F.stddev_samp(c).alias(f"deviation_{c}") for c in NUMERIC],
+    )
+
+    def line(kind: str, name: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"), value.alias("value"))
+
+    cells = [
+        cell
+        for k in (0, 1)
+        for cell in (
+            line("class_rows", str(k), F.col(f"class_{k}")),
+            line("class_weight", str(k), F.col("n") / (2 * F.col(f"class_{k}"))),
+        )
+    ]
+    cells += [line(kind, c, F.col(f"{kind}_{c}")) for c in NUMERIC for kind in ("mean", "deviation")]
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in CATEGORICAL])
+    categories = (
+        rows.select(F.inline(pairs))
+        .filter(F.col("v").isNotNull())
+        .groupBy("c", "v")
+        .agg(count.alias("value"))
+        .select(F.lit("indicator_rows").alias("kind"), F.concat_ws("_", "c", "v").alias("name"), "value")
+    )
+    return whole.select(F.inline(F.array(*cells))).unionByName(categories)
+
+
+def model_checks(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+    """Per model: tested rows, their confusion cells' sum, probabilities outside [0, 1] and missing ones."""
+    p = F.col("probability")
+    cells = [
+        F.count_if((F.col("prediction") == hit) & (F.col("label") == label))
+        for hit in (0, 1)
+        for label in (0, 1)
+    ]
+    return compared(df, models).groupBy("model").agg(
+        F.count(F.lit(1)).alias("tested_rows"),
+        (cells[0] + cells[1] + cells[2] + cells[3]).alias("cell_rows"),
+        F.count_if((p < 0) | (p > 1)).alias("outside"),
+        F.count_if(p.isNull() | F.isnan(p)).alias("missing"),
     )

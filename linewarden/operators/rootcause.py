@@ -25,6 +25,7 @@ from linewarden.functions.text import (
     fixed_decimals,
     percent_text,
     split_list,
+    stripped,
     title_case,
 )
 from linewarden.sources.rulebook import Cause, CauseRules, load_cause_rules
@@ -49,7 +50,7 @@ def row_risk(df: DataFrame, level: Column | None = None) -> Column:
             return by_probability
         level = configured_text(df, label_name)
     else:
-        level = F.lower(F.trim(level))
+        level = F.lower(stripped(level))
     return F.when(level.isin("high", "medium", "low"), level).otherwise(by_probability)
 
 

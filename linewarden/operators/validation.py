@@ -335,7 +335,12 @@ def _named_where(pairs: list[tuple[str, Column]]) -> Column:
 
 
 def quality_report(df: DataFrame) -> DataFrame:
-    """Every check in fixed order with its status, and the overall status.
+    """Every check in fixed order with its status, and the overall status."""
+    return quality_rows(df).drop("scrap_rate")
+
+
+def quality_rows(df: DataFrame) -> DataFrame:
+    """The quality report with the scrap rate of the same profile beside each check.
 
     The profile row takes the duplicate count in as a scalar subquery; all statuses are
     then expressions over that one row.
@@ -409,8 +414,9 @@ def quality_report(df: DataFrame) -> DataFrame:
                 _named_where([(cfg.KEY, repeated_rows)]),
             )
         )
+    rate = rounded(_scrap_rate(), 4) if has_target else F.lit(None).cast("double")
     wide = wide.select(
-        "row_count", *[s.alias(f"status_{n}") for n, s, _ in checks],
+        "row_count", rate.alias("scrap_rate"), *[s.alias(f"status_{n}") for n, s, _ in checks],
         *[a.alias(f"affected_{n}") for n, _, a in checks],
     )
     overall = worst_status([F.col(f"status_{n}") for n, _, _ in checks])
@@ -424,6 +430,7 @@ def quality_report(df: DataFrame) -> DataFrame:
                 F.col(f"affected_{name}").alias("affected"),
                 F.col("row_count"),
                 overall.alias("overall_status"),
+                F.col("scrap_rate"),
             )
             for position, (name, _, _) in enumerate(checks, start=1)
         ],

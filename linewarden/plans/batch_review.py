@@ -16,7 +16,7 @@ from linewarden.functions.risk import (
     scorecard,
     sigmoid,
 )
-from linewarden.functions.text import rounded
+from linewarden.functions.text import array_rounded
 from linewarden.operators.rootcause import driver_counts, with_root_causes
 from linewarden.operators.summary import value_counts
 from linewarden.operators.validation import require_columns, require_numbers, scoring_warnings
@@ -35,7 +35,7 @@ def require_scoring_batch(df: DataFrame) -> DataFrame:
 def with_scorecard(df: DataFrame, score: Column | None = None) -> DataFrame:
     """Model-free probability from the additive scorecard, four decimals."""
     value = scorecard() if score is None else score
-    return coerce_numeric(df).withColumn("scrap_probability", rounded(sigmoid(value), 4))
+    return coerce_numeric(df).withColumn("scrap_probability", array_rounded(sigmoid(value), 4))
 
 
 def with_decision(scored: DataFrame, threshold: float | Column) -> DataFrame:

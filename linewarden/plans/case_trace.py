@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from linewarden.config import production as shape
 from linewarden.config import risk as cfg
-from linewarden.operators.compliance import CRITICAL
+from linewarden.operators.compliance import CRITICAL, with_compliance
+from linewarden.operators.feedback import outcome_label, unique_by_key, with_feedback_class
+from linewarden.plans.batch_review import batch_review, with_decision
 
 # Columns each stage contributes to a trace.
 REVIEW_PART = (
@@ -31,15 +33,34 @@ def _keep(df: DataFrame, columns) -> DataFrame:
 
 
 def trace_table(review: DataFrame, spec: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Review rows with their limit results and feedback, where they exist.
+    """Stored review rows with their stored limit results and feedback, where they exist; one to one.
 
-    Both joins use the same key, so the reviewed side is exchanged once.
+    A repeated key in any of them fails the read. All joins use the same key.
     """
-    return review.join(_keep(spec, SPEC_PART), "part_id", "left").join(
-        _keep(feedback, FEEDBACK_PART), "part_id", "left"
+    return (
+        unique_by_key(review, "Review results")
+        .join(unique_by_key(_keep(spec, SPEC_PART), "Limit results"), "part_id", "left")
+        .join(unique_by_key(_keep(feedback, FEEDBACK_PART), "Feedback cases"), "part_id", "left")
     )
 
 
+def _with_feedback(rows: DataFrame, feedback: DataFrame) -> DataFrame:
+    """Rows with the class of their feedback, where they have any."""
+    notes = [c for c in ("engineer_review_outcome", "review_notes") if c in feedback.columns]
+    key = F.col("part_id").cast("string").alias("part_id")
+    labelled = feedback.select(key, outcome_label(feedback).alias("actual_scrap"), *notes)
+    known = rows.drop("actual_scrap", *notes)
+    joined = unique_by_key(known, "Batch").join(unique_by_key(labelled, "Feedback"), "part_id", "left")
+    classes = {c: F.col(c) for c in FEEDBACK_PART if c.startswith("feedback_")}
+    judged = with_feedback_class(joined)
+    return judged.withColumns({c: F.when(F.col("actual_scrap").isNotNull(), v) for c, v in classes.items()})
+
+
+def trace_rows(scored: DataFrame, feedback: DataFrame, threshold: float | Column) -> DataFrame:
+    """Review, limits and feedback of every scored row: all but the feedback are functions of the row itself."""
+    return _with_feedback(with_compliance(batch_review(scored, threshold)), feedback)
+
+
 def _preference() -> Column:
     shown = (F.col("feedback_classification") == cfg.TRUE_POSITIVE) & (
         F.col("spec_compliance_status") == CRITICAL
@@ -49,17 +70,9 @@ def _preference() -> Column:
     )
 
 
-def trace_key(review: DataFrame, spec: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Key of the most telling case, found on the few columns that decide it."""
-    narrow = trace_table(
-        _keep(review, ("part_id", "scrap_probability", "review_decision")),
-        _keep(spec, ("part_id", "spec_compliance_status")),
-        _keep(feedback, ("part_id", "feedback_classification")),
-    )
+def _most_telling(rows: DataFrame) -> DataFrame:
     risk = F.coalesce(F.nanvl("scrap_probability", F.lit(-1.0)), F.lit(-1.0))
-    return (
-        narrow.orderBy(_preference(), risk.desc(), "part_id").limit(1).select("part_id")
-    )
+    return rows.orderBy(_preference(), risk.desc(), "part_id").limit(1)
 
 
 def _words(name: str) -> Column:
@@ -102,19 +115,29 @@ def trace_sentence() -> Column:
     )
 
 
-def case_trace(review: DataFrame, spec: DataFrame, feedback: DataFrame) -> DataFrame:
-    """One representative case with everything known about it.
-
-    The case is chosen on narrow columns by a first job that brings one key back. Only
-    then are the wide columns of that part worked out, with the key as a plain filter that
-    reaches all three scans.
-    """
-    key = trace_key(review, spec, feedback).first()
-    wanted = F.col("part_id") == F.lit(key.part_id if key else None).cast("string")
-    chosen = [t.filter(wanted) for t in (review, spec, feedback)]
-    traced = trace_table(*chosen).withColumn("trace_summary", trace_sentence())
+def _shown(traced: DataFrame) -> DataFrame:
     return _keep(
-        traced,
+        traced.withColumn("trace_summary", trace_sentence()),
         (*REVIEW_PART[:1], *shape.FEATURES, *REVIEW_PART[1:], *SPEC_PART[1:],
          *FEEDBACK_PART[1:], "trace_summary"),
     )
+
+
+def case_trace(review: DataFrame, spec: DataFrame, feedback: DataFrame) -> DataFrame:
+    """One representative case of stored results with everything known about it."""
+    return _shown(_most_telling(trace_table(review, spec, feedback)))
+
+
+def case_trace_job(scored: DataFrame, feedback: DataFrame, threshold: float | Column) -> DataFrame:
+    """One representative case of a scored batch, with everything known about it.
+
+    The case is chosen in one join on the decision, the limit status and the feedback; the texts are worked out for
+    the chosen row only.
+    """
+    decided = with_compliance(with_decision(scored, threshold)).select(
+        *scored.columns, "review_decision", "spec_compliance_status"
+    )
+    chosen = _most_telling(_with_feedback(decided, feedback)).drop(
+        "review_decision", "spec_compliance_status"
+    )
+    return _shown(with_compliance(batch_review(chosen, threshold)))

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linewarden.config import risk as cfg
-from linewarden.operators.compliance import STATUSES, top_violated
-from linewarden.operators.feedback import review_effectiveness
-from linewarden.operators.validation import FAIL, WARNING, quality_report, target_profile
+from linewarden.functions.text import rounded
+from linewarden.operators.compliance import STATUSES, compliance_totals
+from linewarden.operators.evaluation import ratio
+from linewarden.operators.validation import FAIL, WARNING, quality_rows
 
 
 def _cards(one_row: DataFrame, stage: str, values: dict[str, Column]) -> DataFrame:
@@ -27,15 +28,15 @@ def _cards(one_row: DataFrame, stage: str, values: dict[str, Column]) -> DataFra
 
 
 def quality_card(raw: DataFrame) -> DataFrame:
-    report = quality_report(raw).agg(
+    report = quality_rows(raw).agg(
         F.max("overall_status").alias("status"),
         F.max("row_count").alias("row_count"),
         F.count_if(F.col("status") == WARNING).alias("warnings"),
         F.count_if(F.col("status") == FAIL).alias("errors"),
+        F.max("scrap_rate").alias("scrap_rate"),
     )
-    rate = target_profile(raw).select("scrap_rate")
     return _cards(
-        report.select("*", rate.scalar().alias("scrap_rate")),
+        report,
         "data_quality",
         {
             "status": F.col("status"),
@@ -69,40 +70,43 @@ def review_card(reviewed: DataFrame) -> DataFrame:
     )
 
 
-def compliance_card(checked: DataFrame, df: DataFrame, requirement_count: int) -> DataFrame:
-    status = F.col("spec_compliance_status")
-    sums = checked.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(status == s).alias(s) for s in STATUSES]
-    )
-    worst = top_violated(df).select("requirement_id")
+def compliance_card(df: DataFrame) -> DataFrame:
+    """Totals and the most common violated requirement as a whole record."""
+    worst = F.try_element_at("violations_by_requirement", F.lit(1))
+    name = "most_common_violated_requirement"
     return _cards(
-        sums.select("*", worst.scalar().alias("worst")),
+        compliance_totals(df),
         "spec_compliance",
         {
-            "row_count": F.col("n"),
-            "requirement_count": F.lit(requirement_count),
-            **{s: F.col(s) for s in STATUSES},
-            "most_common_violated_requirement": F.col("worst"),
+            "row_count": F.col("row_count"),
+            "requirement_count": F.col("requirement_count"),
+            **{s: F.col(s.lower()) for s in STATUSES},
+            name: worst["requirement_id"],
+            f"{name}_parameter": worst["parameter"],
+            f"{name}_severity": worst["severity"],
+            f"{name}_count": worst["violation_count"],
         },
     )
 
 
 def feedback_card(cases: DataFrame) -> DataFrame:
+    """Class counts of valid cases, and the two rates that follow from them."""
     outcome = F.col("feedback_classification")
     classes = tuple(cfg.FEEDBACK_PRIORITY)
     counts = cases.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(outcome == c).alias(c) for c in classes],
     )
-    rates = review_effectiveness(cases)
+    caught, alarms, missed = (F.col(c) for c in (cfg.TRUE_POSITIVE, cfg.FALSE_ALARM, cfg.MISSED))
     return _cards(
-        counts, "feedback_loop", {"row_count": F.col("n"), **{c: F.col(c) for c in classes}}
-    ).unionByName(
-        _cards(
-            rates,
-            "feedback_loop",
-            {c: F.col(c) for c in ("issue_capture_rate", "false_alarm_rate_among_reviews")},
-        )
+        counts,
+        "feedback_loop",
+        {
+            "row_count": F.col("n"),
+            **{c: F.col(c) for c in classes},
+            "issue_capture_rate": rounded(ratio(caught, caught + missed), 4),
+            "false_alarm_rate_among_reviews": rounded(ratio(alarms, caught + alarms), 4),
+        },
     )
 
 

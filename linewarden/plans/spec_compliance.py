@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from linewarden.operators.compliance import (
-    STATUSES,
+    compliance_totals,
     require_parameters,
-    violation_counts,
     with_compliance,
 )
 from linewarden.operators.summary import value_counts
@@ -32,26 +30,4 @@ def compliance_counts(checked: DataFrame) -> DataFrame:
 
 def compliance_summary(df: DataFrame, limits: Sequence[Limit] | None = None) -> DataFrame:
     """One row: totals, rows per status, and violations per limit as an array."""
-    limits = limits or load_limits()
-    status = F.col("spec_compliance_status")
-    per_limit = violation_counts(df, limits).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    (-F.col("violation_count")).alias("order"),
-                    "requirement_id",
-                    "parameter",
-                    "severity",
-                    "violation_count",
-                )
-            )
-        )
-    )  # at most one entry per configured limit
-    return with_compliance(df, limits).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.count_if(status == s).alias(s.lower()) for s in STATUSES],
-    ).select(
-        "*",
-        F.lit(len(limits)).alias("requirement_count"),
-        per_limit.scalar().alias("violations_by_requirement"),
-    )
+    return compliance_totals(df, limits)

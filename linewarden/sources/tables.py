@@ -51,20 +51,6 @@ def read_parquet(spark: SparkSession, path: str, label: str = "Table") -> DataFr
     return _existing(lambda: spark.read.parquet(path), path, label)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A scan over at least as many partitions as there are cores.
-
-    A file of one row group is one task, however large it is, and would leave the other
-    cores idle. Rows are exchanged only in that case; a scan that already has enough
-    partitions, as any large table has, is returned as it is. `keys` should identify a
-    row, so that no value gathers many rows in one partition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def require_rows(df: DataFrame, label: str = "Table") -> DataFrame:
     """The table itself, after a one-row look that it is not empty."""
     if df.isEmpty():

@@ -100,13 +100,18 @@ def _brute_force(pairs):
     return auc, ap
 
 
-@pytest.mark.parametrize("digits, ranges", [(1, None), (1, 4), (6, None), (6, 7), (6, 1)])
-def test_ranking_against_brute_force(spark, digits, ranges):
+@pytest.mark.parametrize("digits, partitions", [(1, 4), (6, 7), (6, 1)])
+def test_ranking_against_brute_force(spark, digits, partitions):
     rng = random.Random(7)
     pairs = [(round(rng.random(), digits), int(rng.random() < 0.3)) for _ in range(400)]
     pairs += [(0.5, 1)] * 130 + [(0.5, 0)] * 70  # one score holds a third of the rows
     table = spark.createDataFrame(pairs, "scrap_probability double, scrap int")
-    row = ev.ranking_metrics(ev.score_histogram(table), ranges).first()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        row = ev.ranking_metrics(ev.score_histogram(table)).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     auc, ap = _brute_force(pairs)
     assert row.roc_auc == pytest.approx(auc, abs=1e-12)
     assert row.average_precision == pytest.approx(ap, abs=1e-12)
@@ -198,10 +203,60 @@ def test_drivers_from_sentences(spark):
     assert df.filter("false").count() == 0
 
 
+def values(spark, numbers, column):
+    df = spark.createDataFrame([(n,) for n in numbers], "x double")
+    return [r[0] for r in df.select(column(F.col("x"))).collect()]
+
+
 def test_rounding(spark):
-    df = spark.createDataFrame([(0.37875,), (0.00625,), (None,), (float("nan"),)], "x double")
-    found = [r[0] for r in df.select(text.rounded(F.col("x"), 4)).collect()]
-    assert found == [0.3787, 0.0063, None, None]
+    """Four decimals of the stored value, exact ties to even: what Python's round gives."""
+    numbers = [0.37875, 0.00625, 1 / 32, 3 / 32, -0.03125, 1e16, float("inf"), 0.5]
+    found = values(spark, numbers, lambda x: text.rounded(x, 4))
+    assert found == [round(n, 4) if n != float("inf") else n for n in numbers]
+    assert found[2] == 0.0312
+    assert values(spark, [None, float("nan")], lambda x: text.rounded(x, 4)) == [None, None]
+
+
+def test_array_rounding(spark):
+    """Scaled and rounded half to even, as array libraries do."""
+    numbers = [1 / 32, 2.675, 0.125, 1e16, float("inf"), float("-inf"), -0.03125]
+    found = values(spark, numbers, lambda x: text.array_rounded(x, 4))
+    assert found == [0.0312, 2.675, 0.125, 1e16, float("inf"), float("-inf"), -0.0312]
+    assert values(spark, [None, float("nan")], lambda x: text.array_rounded(x, 2)) == [None, None]
+
+
+def test_number_texts(spark):
+    """The stored value decides; an exact tie goes away from zero in a sentence and to even in a percentage."""
+    numbers = [51.55, 50.25, 50.75, 2.675, 190.35, 50.15, -50.25, 0.04, 1e16, None]
+    assert values(spark, numbers, lambda x: text.fixed_decimals(x, 1)) == [
+        "51.5", "50.3", "50.8", "2.7", "190.3", "50.1", "-50.3", "0.0", "10000000000000000.0", None,
+    ]
+    assert values(spark, [2.675, 0.125, 0.375], lambda x: text.fixed_decimals(x, 2)) == ["2.67", "0.13", "0.38"]
+    assert values(spark, [0.00125, 0.5], text.percent_text) == ["0.12%", "50.00%"]
+
+
+def test_nan_is_never_risky(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (0.6, 1), (0.2, 0)], "scrap_probability double, scrap int")
+    p = F.col("scrap_probability")
+    flags = df.select(scales.risk_level(p), scales.export_flag(p, 0.3), scales.strict_band(p)).collect()
+    assert tuple(flags[0]) == ("Low", "Low", None)
+    decision = scales.review_decision(p, scales.risk_level(p), F.lit(0.4))
+    reason = scales.decision_reason(p, scales.risk_level(p), F.lit(0.4))
+    first = df.select(decision.alias("d"), reason.alias("r")).first()
+    assert first.d == "STANDARD_MONITORING" and "threshold" not in first.r.lower().split("below")[0]
+    swept = ev.threshold_sweep(df, thresholds=(0.1, 0.5)).collect()
+    assert [(r.true_positive, r.false_negative) for r in swept] == [(1, 1), (1, 1)]
+    ranked = ev.ranking_metrics(ev.score_histogram(df)).first()
+    assert ranked.roc_auc == 1.0 and ranked.base_rate == 0.5
+
+
+def test_blanks_and_hexadecimal_numbers(spark):
+    cells = [" \t", "\u00a0", " 5.5\u2003", "0x1p3", "night\t", "inf", "1d"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    found = df.select(text.is_missing(df, "c"), text.parse_number(F.col("c")), text.normalized_text(F.col("c"))).collect()
+    assert [r[0] for r in found] == [True, True, False, False, False, False, False]
+    assert [r[1] for r in found] == [None, None, 5.5, None, None, float("inf"), None]
+    assert [r[2] for r in found][:2] == [None, None] and found[4][2] == "night"
 
 
 def test_scorecard_defaults(spark):

@@ -1,9 +1,13 @@
 """The ten-row batch: decisions, causes, limits and feedback with known results."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from linewarden.operators import compliance, feedback, rootcause
 from linewarden.plans import batch_review as review_plan
 from linewarden.plans import spec_compliance as spec_plan
-from linewarden.plans.case_trace import case_trace
+from linewarden.operators.validation import DataQualityError
+from linewarden.plans.case_trace import case_trace, case_trace_job
 from linewarden.plans.feedback_loop import evaluate_feedback
 
 
@@ -132,3 +136,24 @@ def test_trace(batch, outcomes):
     without = case_trace(review, compliance.with_compliance(batch), cases.filter("false")).first()
     assert without.part_id == "NB000001"
     assert without.trace_summary.endswith("later feedback is not available.")
+
+
+def test_trace_job_agrees_with_stored_results(batch, outcomes):
+    review = review_plan.batch_review(batch, 0.4)
+    cases = feedback.feedback_cases(review, outcomes)
+    stored = case_trace(review, compliance.with_compliance(batch), cases).first()
+    assert case_trace_job(batch, outcomes, 0.4).first().asDict() == stored.asDict()
+
+
+def test_joins_refuse_repeated_keys_and_bad_labels(batch, outcomes):
+    review = review_plan.batch_review(batch, 0.4)
+    for left, right in ((review.union(review.limit(1)), outcomes), (review, outcomes.union(outcomes.limit(1)))):
+        with pytest.raises(Exception, match="repeats part_id"):
+            feedback.feedback_cases(left, right).collect()
+        with pytest.raises(DataQualityError, match=r"\(1\)"):
+            feedback.require_feedback(left, right)
+    wrong = outcomes.withColumn("actual_scrap", F.lit("bad"))
+    with pytest.raises(Exception, match="invalid actual_scrap"):
+        feedback.feedback_cases(review, wrong).collect()
+    unreadable = review.withColumn("scrap_probability", F.lit("abc"))
+    assert {r.scrap_probability for r in feedback.feedback_cases(unreadable, outcomes).collect()} == {None}

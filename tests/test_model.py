@@ -48,7 +48,7 @@ def test_scores(table, models, tmp_path):
     scored = model.score(model.test_rows(table), models[model.FOREST], decimals=None)
     low, high = scored.agg(F.min("scrap_probability"), F.max("scrap_probability")).first()
     assert 0 <= low < high <= 1
-    ranked = evaluation.ranking_metrics(evaluation.score_histogram(scored), ranges=5).first()
+    ranked = evaluation.ranking_metrics(evaluation.score_histogram(scored)).first()
     assert ranked.roc_auc > 0.55
     path = str(tmp_path / "model")
     model.save_model(models[model.FOREST], path)
@@ -81,5 +81,19 @@ def test_one_class_is_refused(table):
         model.fit(table.filter("scrap = 0"), QUICK, (model.FOREST,))
 
 
-def test_checkpoint_folder_comes_from_the_session(spark, tmp_path):
-    assert spark.sparkContext.getCheckpointDir() is not None  # set by training above
+def test_checkpoint_folder(spark, tmp_path):
+    """The folder given is used; without one, and without the setting, training only warns."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        with pytest.warns(UserWarning, match="checkpoint"):
+            model.prepare_checkpoints(spark)
+    model.prepare_checkpoints(spark, str(tmp_path))
+    assert str(tmp_path) in context.getCheckpointDir()
+
+
+def test_comparison_reads_the_test_side_once(table, models):
+    plan = model.model_comparison(table, models)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("Relation [") <= 1
+    checks = {r.model: r for r in model.model_checks(table, models).collect()}
+    assert set(checks) == set(models)
+    assert all(r.tested_rows == r.cell_rows and r.outside == r.missing == 0 for r in checks.values())

@@ -177,18 +177,18 @@ LIMITS = [
     ("LOW_OPERATOR_EXPERIENCE_WARNING", "operator_experience_years", ">=", "2", "warning"),
 ]
 _ACTION = {limit["id"]: limit["recommended_action"] for limit in texts.LIMITS}
-LABELS = """labels_dim(requirement_id, label, signal, signal_label, severity_label) AS (VALUES
-  ('TEMP_MAX_WARNING', 'Temperature warning', 'temperature_c', 'Temperature', 'Warning'),
-  ('TEMP_MAX_CRITICAL', 'Temperature critical', 'temperature_c', 'Temperature', 'Critical'),
-  ('VIBRATION_MAX_WARNING', 'Vibration warning', 'vibration_mm_s', 'Vibration', 'Warning'),
-  ('VIBRATION_MAX_CRITICAL', 'Vibration critical', 'vibration_mm_s', 'Vibration', 'Critical'),
-  ('CYCLE_TIME_MAX_WARNING', 'Cycle-time warning', 'cycle_time_s', 'Cycle time', 'Warning'),
-  ('CYCLE_TIME_MAX_CRITICAL', 'Cycle-time critical', 'cycle_time_s', 'Cycle time', 'Critical'),
-  ('PRESSURE_MIN_WARNING', 'Low pressure warning', 'pressure_bar', 'Pressure', 'Warning'),
-  ('PRESSURE_MAX_WARNING', 'High pressure warning', 'pressure_bar', 'Pressure', 'Warning'),
-  ('HUMIDITY_MAX_WARNING', 'Humidity warning', 'humidity_percent', 'Humidity', 'Warning'),
+LABELS = """labels_dim(requirement_id, label, signal, signal_label, severity_label, signal_unit) AS (VALUES
+  ('TEMP_MAX_WARNING', 'Temperature warning', 'temperature_c', 'Temperature', 'Warning', 'C'),
+  ('TEMP_MAX_CRITICAL', 'Temperature critical', 'temperature_c', 'Temperature', 'Critical', 'C'),
+  ('VIBRATION_MAX_WARNING', 'Vibration warning', 'vibration_mm_s', 'Vibration', 'Warning', 'mm/s'),
+  ('VIBRATION_MAX_CRITICAL', 'Vibration critical', 'vibration_mm_s', 'Vibration', 'Critical', 'mm/s'),
+  ('CYCLE_TIME_MAX_WARNING', 'Cycle-time warning', 'cycle_time_s', 'Cycle time', 'Warning', 's'),
+  ('CYCLE_TIME_MAX_CRITICAL', 'Cycle-time critical', 'cycle_time_s', 'Cycle time', 'Critical', 's'),
+  ('PRESSURE_MIN_WARNING', 'Low pressure warning', 'pressure_bar', 'Pressure', 'Warning', 'bar'),
+  ('PRESSURE_MAX_WARNING', 'High pressure warning', 'pressure_bar', 'Pressure', 'Warning', 'bar'),
+  ('HUMIDITY_MAX_WARNING', 'Humidity warning', 'humidity_percent', 'Humidity', 'Warning', '%'),
   ('LOW_OPERATOR_EXPERIENCE_WARNING', 'Operator support warning',
-    'operator_experience_years', 'Operator experience', 'Warning'))"""
+    'operator_experience_years', 'Operator experience', 'Warning', 'years'))"""
 
 
 def _broken(column: str, op: str, limit: str) -> str:
@@ -239,13 +239,16 @@ CHECKED = P + ", " + _checked("p")
 SPEC_OUT = """spec_compliance_status, violation_count, critical_violation_count,
   warning_violation_count, violated_requirement_ids, violation_summary, recommended_actions"""
 
+#: The blanks that occur in the raw fixture.
+BLANKS = "' ' || chr(9) || chr(160)"
 RAW = (
     P
     + """,
 raw AS (
   SELECT part_id,
     CASE WHEN l_partkey % 211 = 0 THEN 'M9' ELSE machine_id END AS machine_id,
-    CASE WHEN l_orderkey % 89 = 0 THEN '  ' WHEN l_orderkey % 97 = 0 THEN NULL
+    CASE WHEN l_orderkey % 89 = 0 THEN '  ' WHEN l_orderkey % 83 = 0 THEN chr(9)
+      WHEN l_orderkey % 79 = 0 THEN chr(160) WHEN l_orderkey % 97 = 0 THEN NULL
       WHEN l_orderkey % 101 = 0 THEN 'bad' WHEN l_orderkey % 103 = 0 THEN '250.0'
       ELSE CAST(temperature_c AS VARCHAR) END AS temperature_c,
     CAST(pressure_bar AS VARCHAR) AS pressure_bar, CAST(cycle_time_s AS VARCHAR) AS cycle_time_s,
@@ -269,11 +272,11 @@ NUMERIC = list(RANGES)
 
 
 def _blank(column: str) -> str:
-    return f"({column} IS NULL OR trim({column}) = '')"
+    return f"({column} IS NULL OR trim({column}, {BLANKS}) = '')"
 
 
 def _unreadable(column: str) -> str:
-    return f"(NOT {_blank(column)} AND TRY_CAST(trim({column}) AS DOUBLE) IS NULL)"
+    return f"(NOT {_blank(column)} AND TRY_CAST(trim({column}, {BLANKS}) AS DOUBLE) IS NULL)"
 
 
 def _union(parts) -> str:
@@ -292,8 +295,8 @@ INVALID = _union(
 OUTSIDE = _union(
     f"SELECT '{c}' AS column_name, CAST({low} AS DOUBLE) AS minimum, "
     f"CAST({high} AS DOUBLE) AS maximum, "
-    f"count(*) FILTER (TRY_CAST(trim({c}) AS DOUBLE) < {low}) AS below_range_count, "
-    f"count(*) FILTER (TRY_CAST(trim({c}) AS DOUBLE) > {high}) AS above_range_count FROM raw"
+    f"count(*) FILTER (TRY_CAST(trim({c}, {BLANKS}) AS DOUBLE) < {low}) AS below_range_count, "
+    f"count(*) FILTER (TRY_CAST(trim({c}, {BLANKS}) AS DOUBLE) > {high}) AS above_range_count FROM raw"
     for c, (low, high) in RANGES.items()
 )
 STRANGE = """
@@ -306,7 +309,7 @@ STRANGE = """
 TARGET = """
   SELECT count(*) AS total_rows, count(*) FILTER (scrap = '0') AS good_count,
     count(*) FILTER (scrap = '1') AS scrap_count,
-    round(count(*) FILTER (scrap = '1') / CAST(count(*) AS DOUBLE), 4) AS scrap_rate,
+    exact_round(count(*) FILTER (scrap = '1') / CAST(count(*) AS DOUBLE), 4) AS scrap_rate,
     count(*) FILTER (scrap NOT IN ('0', '1')) AS invalid_target FROM raw"""
 DUPLICATES = """repeated AS (
   SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
@@ -361,13 +364,13 @@ cells AS (
 ),
 sweep AS (
   SELECT threshold,
-    round((true_positive + true_negative) / CAST(true_positive + true_negative + false_positive
+    exact_round((true_positive + true_negative) / CAST(true_positive + true_negative + false_positive
       + false_negative AS DOUBLE), 4) AS accuracy,
-    round(coalesce(true_positive / nullif(CAST(true_positive + false_positive AS DOUBLE), 0), 0),
+    exact_round(coalesce(true_positive / nullif(CAST(true_positive + false_positive AS DOUBLE), 0), 0),
       4) AS precision,
-    round(coalesce(true_positive / nullif(CAST(true_positive + false_negative AS DOUBLE), 0), 0),
+    exact_round(coalesce(true_positive / nullif(CAST(true_positive + false_negative AS DOUBLE), 0), 0),
       4) AS recall,
-    round(coalesce(2 * true_positive / nullif(CAST(2 * true_positive + false_positive
+    exact_round(coalesce(2 * true_positive / nullif(CAST(2 * true_positive + false_positive
       + false_negative AS DOUBLE), 0), 0), 4) AS f1_score,
     true_negative, false_positive, false_negative, true_positive
   FROM cells
@@ -504,12 +507,17 @@ _SIGNS = """CAST(temperature_c > 190 AS INTEGER) + CAST(cycle_time_s > 50 AS INT
 
 def _rates(column: str) -> str:
     return (
-        f"SELECT {column} AS label, round(avg(scrap) * 100, 2) AS scrap_rate FROM p GROUP BY 1"
+        f"SELECT {column} AS label, exact_round(avg(scrap) * 100, 2) AS scrap_rate FROM p GROUP BY 1"
     )
 
 
 def _fixed(column: str, digits: int) -> str:
-    return f"CAST(CAST({column} AS DECIMAL(38, {digits})) AS VARCHAR)"
+    """Digits of the stored value; an exact tie, which is an odd multiple of a power of two, goes up."""
+    return (
+        f"CASE WHEN abs({column}) * {2 ** (digits + 1)} % 2 = 1"
+        f" THEN CAST(CAST({column} AS DECIMAL(38, {digits})) AS VARCHAR)"
+        f" ELSE printf('%.{digits}f', {column}) END"
+    )
 
 
 _EVIDENCE = f"""coalesce(nullif(concat_ws(' ',
@@ -561,8 +569,8 @@ ORACLE: dict[str, str] = {
       temperature_c, pressure_bar, cycle_time_s, operator_experience_years, vibration_mm_s,
       humidity_percent FROM p""",
     "coerce_numeric_columns": f"""WITH {RAW} SELECT part_id,
-      {', '.join(f"TRY_CAST(trim({c}) AS DOUBLE) AS {c}" for c in NUMERIC)} FROM raw""",
-    "scorecard_score": f"""WITH {P} SELECT part_id, round(risk_score, 6) AS risk_score,
+      {', '.join(f"TRY_CAST(trim({c}, {BLANKS}) AS DOUBLE) AS {c}" for c in NUMERIC)} FROM raw""",
+    "scorecard_score": f"""WITH {P} SELECT part_id, round_even(risk_score, 6) AS risk_score,
       scrap_probability FROM p""",
     "risk_levels": f"""WITH {P} SELECT part_id, scrap_probability, {LEVEL} AS risk_level,
       CASE WHEN scrap_probability < 0.3 THEN 'Low risk' WHEN scrap_probability < 0.5
@@ -581,7 +589,7 @@ ORACLE: dict[str, str] = {
     "spec_compliance": f"WITH {CHECKED} SELECT part_id, {SPEC_OUT} FROM checked",
     "violation_text": f"""WITH {RAW},
       typed AS (SELECT part_id, {', '.join(
-          f"TRY_CAST(trim({c}) AS DOUBLE)"
+          f"TRY_CAST(trim({c}, {BLANKS}) AS DOUBLE)"
           + (" / CAST(0.7 AS DOUBLE)" if c == "vibration_mm_s" else "") + f" AS {c}"
           for c in NUMERIC)} FROM raw),
       {_checked('typed')} SELECT part_id, violation_summary FROM checked""",
@@ -595,7 +603,7 @@ ORACLE: dict[str, str] = {
       violated_requirement_ids FROM checked
       WHERE spec_compliance_status = 'CRITICAL_VIOLATION'""",
     "violation_facts": f"""WITH {P}, {_violations('p')}, {LABELS} SELECT requirement_id, part_id,
-      actual_value, operator, limit_value, label, signal, signal_label, severity_label
+      actual_value, operator, limit_value, label, signal, signal_label, severity_label, signal_unit
       FROM v JOIN labels_dim USING (requirement_id)""",
     "rules_dim": f"""WITH {P}, {_violations('p')}, {LABELS} SELECT d.*,
       count(v.part_id) AS violation_count
@@ -659,7 +667,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'empty_dataset', CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'PASS' END, '',
         count(*) FROM lineitem""",
     "missing_profile": f"""WITH {RAW} SELECT column_name, missing_count,
-      round(missing_count / CAST(n AS DOUBLE), 4) AS missing_percentage,
+      exact_round(missing_count / CAST(n AS DOUBLE), 4) AS missing_percentage,
       CASE WHEN missing_count = 0 THEN 'PASS' WHEN missing_count / CAST(n AS DOUBLE) <= 0.05
         THEN 'WARNING' ELSE 'FAIL' END AS status FROM ({MISSING})""",
     "numeric_validity": f"""WITH {RAW} SELECT column_name, invalid_count,
@@ -721,7 +729,7 @@ ORACLE: dict[str, str] = {
       FROM cheapest b, standard s, tuned t""",
     "threshold_deltas": f"""WITH {SWEEP} SELECT CAST(0.5 AS DOUBLE) AS default_threshold,
       b.threshold AS selected_threshold, s.recall AS default_recall, b.recall AS selected_recall,
-      round((b.recall - s.recall) * 100, 2) AS recall_gain_points,
+      exact_round((b.recall - s.recall) * 100, 2) AS recall_gain_points,
       s.false_negative AS default_false_negative, b.false_negative AS selected_false_negative,
       s.false_negative - b.false_negative AS missed_scrap_reduction,
       s.false_positive AS default_false_positive, b.false_positive AS selected_false_positive,
@@ -735,20 +743,20 @@ ORACLE: dict[str, str] = {
         (3, 'High risk', 0.5, 1.0000001, 'Engineering review priority'))
       SELECT band_order, risk_band, count(scrap) AS row_count,
         CAST(coalesce(sum(scrap), 0) AS BIGINT) AS actual_scrap_count,
-        coalesce(round(avg(scrap), 4), 0) AS actual_scrap_rate,
-        coalesce(round(avg(scrap_probability), 4), 0) AS average_predicted_risk, review_priority
+        coalesce(exact_round(avg(scrap), 4), 0) AS actual_scrap_rate,
+        coalesce(exact_round(avg(scrap_probability), 4), 0) AS average_predicted_risk, review_priority
       FROM bands LEFT JOIN p ON scrap_probability >= low AND scrap_probability < high
       GROUP BY band_order, risk_band, review_priority""",
     "roc_auc": f"""WITH {P}, {ranking('p', 'scrap_probability')}
-      SELECT round(roc_auc, 6) AS roc_auc FROM ranks""",
+      SELECT exact_round(roc_auc, 6) AS roc_auc FROM ranks""",
     "average_precision": f"""WITH {P}, {ranking('p', 'scrap_probability')}
-      SELECT round(average_precision, 6) AS average_precision FROM ranks""",
-    "ranking_unrounded": f"""WITH {P}, {ranking('p', '1 / (1 + exp(-round(risk_score, 9)))')}
-      SELECT round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_precision
+      SELECT exact_round(average_precision, 6) AS average_precision FROM ranks""",
+    "ranking_unrounded": f"""WITH {P}, {ranking('p', '1 / (1 + exp(-round_even(risk_score, 9)))')}
+      SELECT exact_round(roc_auc, 6) AS roc_auc, exact_round(average_precision, 6) AS average_precision
       FROM ranks""",
     "evaluation_summary": f"""WITH {SWEEP}, {ranking('p', 'scrap_probability')}
-      SELECT round(roc_auc, 4) AS roc_auc, round(average_precision, 4) AS pr_auc,
-        round(base_rate, 4) AS baseline_scrap_rate,
+      SELECT exact_round(roc_auc, 4) AS roc_auc, exact_round(average_precision, 4) AS pr_auc,
+        exact_round(base_rate, 4) AS baseline_scrap_rate,
         (SELECT threshold FROM selected) AS selected_threshold,
         (SELECT threshold FROM cheapest) AS cost_optimized_threshold FROM ranks""",
     "review_threshold_choice": f"""WITH {SWEEP} SELECT coalesce((SELECT threshold FROM cheapest),
@@ -772,7 +780,7 @@ ORACLE: dict[str, str] = {
     "feedback_extra": f"""WITH {P}, {FEEDBACK} SELECT DISTINCT part_id FROM feedback
       WHERE part_id NOT IN (SELECT part_id FROM p)""",
     "feedback_invalid_labels": f"""WITH {RAW}, texts AS (SELECT part_id,
-        CASE WHEN TRY_CAST(trim(temperature_c) AS DOUBLE) IS NOT NULL THEN scrap END
+        CASE WHEN TRY_CAST(trim(temperature_c, {BLANKS}) AS DOUBLE) IS NOT NULL THEN scrap END
           AS actual_scrap FROM raw)
       SELECT * FROM texts WHERE actual_scrap IS NULL OR actual_scrap NOT IN ('0', '1')""",
     "review_effectiveness": f"""WITH {CASE} SELECT
@@ -780,10 +788,10 @@ ORACLE: dict[str, str] = {
       count(*) FILTER (review_decision = 'ENGINEERING_REVIEW_REQUIRED') AS review_required_count,
       count(*) FILTER (feedback_classification = 'MISSED_ISSUE') AS missed_issue_count,
       count(*) FILTER (feedback_classification = 'FALSE_ALARM_REVIEW') AS false_alarm_count,
-      round(coalesce(count(*) FILTER (feedback_classification = 'TRUE_POSITIVE_REVIEW')
+      exact_round(coalesce(count(*) FILTER (feedback_classification = 'TRUE_POSITIVE_REVIEW')
         / nullif(CAST(count(*) FILTER (actual_scrap = 1) AS DOUBLE), 0), 0), 4)
         AS issue_capture_rate,
-      round(coalesce(count(*) FILTER (feedback_classification = 'FALSE_ALARM_REVIEW')
+      exact_round(coalesce(count(*) FILTER (feedback_classification = 'FALSE_ALARM_REVIEW')
         / nullif(CAST(count(*) FILTER (review_decision = 'ENGINEERING_REVIEW_REQUIRED')
           AS DOUBLE), 0), 0), 4) AS false_alarm_rate_among_reviews FROM cases""",
     "threshold_scenarios": f"""WITH {CASE}, cuts AS
@@ -796,17 +804,17 @@ ORACLE: dict[str, str] = {
         FROM cases CROSS JOIN cuts GROUP BY threshold)
       SELECT threshold, tp AS true_positive_reviews, fa AS false_alarm_reviews,
         miss AS missed_issues, tn AS true_negative_monitoring, tp + fa AS review_required_count,
-        round(coalesce(tp / nullif(CAST(tp + miss AS DOUBLE), 0), 0), 4) AS issue_capture_rate,
-        round(coalesce(fa / nullif(CAST(tp + fa AS DOUBLE), 0), 0), 4)
+        exact_round(coalesce(tp / nullif(CAST(tp + miss AS DOUBLE), 0), 0), 4) AS issue_capture_rate,
+        exact_round(coalesce(fa / nullif(CAST(tp + fa AS DOUBLE), 0), 0), 4)
           AS false_alarm_rate_among_reviews FROM counted""",
     "confirmed_driver_counts": f"""WITH {CASE}, confirmed AS
         (SELECT * FROM cases WHERE actual_scrap = 1)
       {_entries('confirmed', 'top_suspected_drivers', 'driver')}""",
     "machine_summary": f"""WITH {P} SELECT machine_id, count(part_id) AS total_parts,
-      CAST(sum(scrap) AS BIGINT) AS scrap_parts, round(avg(scrap), 6) AS scrap_rate,
-      round(avg(temperature_c), 4) AS avg_temperature_c,
-      round(avg(cycle_time_s), 4) AS avg_cycle_time_s,
-      round(avg(vibration_mm_s), 4) AS avg_vibration_mm_s FROM p GROUP BY 1""",
+      CAST(sum(scrap) AS BIGINT) AS scrap_parts, exact_round(avg(scrap), 6) AS scrap_rate,
+      exact_round(avg(temperature_c), 4) AS avg_temperature_c,
+      exact_round(avg(cycle_time_s), 4) AS avg_cycle_time_s,
+      exact_round(avg(vibration_mm_s), 4) AS avg_vibration_mm_s FROM p GROUP BY 1""",
     "scrap_by_machine": f"WITH {P} {_rates('machine_id')}",
     "scrap_by_shift": f"WITH {P} {_rates('shift')}",
     "scrap_by_category": f"""WITH {P} SELECT 'machine_id' AS category, * FROM
@@ -816,7 +824,7 @@ ORACLE: dict[str, str] = {
     "scrap_by_temperature": f"""WITH {P}, bins(label_order, label) AS (VALUES (1, '<180°C'),
         (2, '180–185°C'), (3, '185–190°C'), (4, '190–195°C'), (5, '>195°C'))
       SELECT label_order, label, count(scrap) AS row_count,
-        round(avg(scrap) * 100, 2) AS scrap_rate
+        exact_round(avg(scrap) * 100, 2) AS scrap_rate
       FROM bins LEFT JOIN (SELECT {_BIN} AS label, scrap FROM p) USING (label)
       GROUP BY 1, 2""",
     "rule_count_levels": f"""WITH {P}, levels(label_order, label) AS (VALUES (1, 'Low risk'),
@@ -826,14 +834,14 @@ ORACLE: dict[str, str] = {
           ELSE 'Low risk' END AS label FROM (SELECT {_SIGNS} AS signs FROM p)) USING (label)
       GROUP BY 1, 2""",
     "dataset_totals": f"""WITH {P} SELECT count(*) AS total_parts,
-      CAST(sum(scrap) AS BIGINT) AS scrap_parts, round(avg(scrap), 6) AS scrap_rate,
+      CAST(sum(scrap) AS BIGINT) AS scrap_parts, exact_round(avg(scrap), 6) AS scrap_rate,
       count(DISTINCT machine_id) AS machines, count(DISTINCT shift) AS shifts,
       count(DISTINCT material_batch) AS material_batches FROM p""",
     "highest_risk_machine": f"""WITH {P}, rates AS
         (SELECT machine_id, avg(scrap) AS rate FROM p GROUP BY 1)
-      SELECT machine_id, round(rate * 100, 2) AS scrap_rate,
-        round((SELECT avg(scrap) FROM p) * 100, 2) AS overall_scrap_rate,
-        round((rate - (SELECT avg(scrap) FROM p)) * 100, 2) AS gap_points
+      SELECT machine_id, exact_round(rate * 100, 2) AS scrap_rate,
+        exact_round((SELECT avg(scrap) FROM p) * 100, 2) AS overall_scrap_rate,
+        exact_round((rate - (SELECT avg(scrap) FROM p)) * 100, 2) AS gap_points
       FROM rates ORDER BY rate DESC, machine_id LIMIT 1""",
     "export_predictions": f"""WITH {RESULTS} SELECT {_EXPORT_OUT} FROM results
       WHERE predicted_scrap_risk = 'High' {_TOP} LIMIT 25""",
@@ -842,7 +850,7 @@ ORACLE: dict[str, str] = {
       humidity_percent, scrap, scrap_probability, 'Low' AS predicted_scrap_risk,
       '' AS root_cause_summary, '' AS engineering_recommendations FROM p {_TOP} LIMIT 25""",
     "sample_prediction": f"""WITH {RESULTS} SELECT part_id,
-      round(scrap_probability * 100, 2) AS scrap_probability,
+      exact_round(scrap_probability * 100, 2) AS scrap_probability,
       predicted_scrap_risk AS risk_level, machine_id, shift, material_batch, temperature_c,
       pressure_bar, cycle_time_s, operator_experience_years, vibration_mm_s, humidity_percent,
       root_cause_summary, engineering_recommendations,
@@ -850,7 +858,7 @@ ORACLE: dict[str, str] = {
       ORDER BY r.scrap_probability DESC, part_id LIMIT 1""",
     "prediction_kpis": f"""WITH {RESULTS} SELECT count(*) AS total_predictions,
       count(*) FILTER (lower(predicted_scrap_risk) = 'high') AS high_risk_rows,
-      round(avg(scrap_probability), 6) AS average_predicted_risk FROM results""",
+      exact_round(avg(scrap_probability), 6) AS average_predicted_risk FROM results""",
     "case_trace_table": f"""WITH {TRACED} SELECT part_id, scrap_probability, review_decision,
       spec_compliance_status, violation_count, actual_scrap, feedback_classification,
       trace_summary FROM traced""",
@@ -899,17 +907,20 @@ ORACLE["workflow_overview"] = f"""WITH {CASE}, {RAW.replace(P, '').lstrip(',')},
     UNION ALL SELECT 'spec_compliance', s, CAST((SELECT count(*) FROM checked
         WHERE spec_compliance_status = s) AS VARCHAR)
       FROM (SELECT unnest(['COMPLIANT', 'WARNING_VIOLATION', 'CRITICAL_VIOLATION']) AS s)
-    UNION ALL (SELECT 'spec_compliance', 'most_common_violated_requirement', requirement_id
-      FROM v GROUP BY requirement_id ORDER BY count(*) DESC, requirement_id LIMIT 1)
+    UNION ALL SELECT 'spec_compliance', 'most_common_violated_requirement' || suffix, shown
+      FROM (SELECT unnest(['', '_parameter', '_severity', '_count']) AS suffix,
+        unnest([requirement_id, parameter, severity, CAST(n AS VARCHAR)]) AS shown
+        FROM (SELECT requirement_id, min(parameter) AS parameter, min(severity) AS severity, count(*) AS n
+          FROM v GROUP BY requirement_id ORDER BY n DESC, requirement_id LIMIT 1))
     UNION ALL SELECT 'feedback_loop', 'row_count', CAST(count(*) AS VARCHAR) FROM cases
     UNION ALL SELECT 'feedback_loop', f, CAST((SELECT count(*) FROM cases
         WHERE feedback_classification = f) AS VARCHAR)
       FROM (SELECT unnest(['MISSED_ISSUE', 'FALSE_ALARM_REVIEW', 'TRUE_POSITIVE_REVIEW',
         'TRUE_NEGATIVE_MONITORING']) AS f)
     UNION ALL SELECT 'feedback_loop', 'issue_capture_rate',
-      CAST(round(tp / CAST(tp + miss AS DOUBLE), 4) AS VARCHAR) FROM e
+      CAST(exact_round(tp / CAST(tp + miss AS DOUBLE), 4) AS VARCHAR) FROM e
     UNION ALL SELECT 'feedback_loop', 'false_alarm_rate_among_reviews',
-      CAST(round(fa / CAST(tp + fa AS DOUBLE), 4) AS VARCHAR) FROM e
+      CAST(exact_round(fa / CAST(tp + fa AS DOUBLE), 4) AS VARCHAR) FROM e
   )
   SELECT * FROM cards"""
 
@@ -923,3 +934,39 @@ ORACLE["review_with_chosen_threshold"] = f"""WITH {SWEEP},
       WHEN risk_level = 'Medium' THEN 'ADDITIONAL_MONITORING'
       ELSE 'STANDARD_MONITORING' END AS review_decision, root_cause_summary
   FROM caused, cut"""
+
+_TEST = "CAST('0x' || substr(md5(part_id || '|42'), 1, 8) AS BIGINT) % 10000 < 2500"
+_READINGS = (
+    "temperature_c", "pressure_bar", "cycle_time_s", "operator_experience_years", "vibration_mm_s",
+    "humidity_percent",
+)
+ORACLE["training_profile"] = f"""WITH {P}, train AS (SELECT * FROM p WHERE NOT ({_TEST})), cells AS (
+  SELECT 'class_rows' AS kind, CAST(scrap AS VARCHAR) AS name, CAST(count(*) AS DOUBLE) AS value
+    FROM train GROUP BY scrap
+  UNION ALL SELECT 'class_weight', CAST(scrap AS VARCHAR),
+    (SELECT count(*) FROM train) / (2 * CAST(count(*) AS DOUBLE)) FROM train GROUP BY scrap
+  {" ".join(f"UNION ALL SELECT 'mean', '{c}', avg({c}) FROM train" for c in _READINGS)}
+  {" ".join(f"UNION ALL SELECT 'deviation', '{c}', stddev_samp({c}) FROM train" for c in _READINGS)}
+  {" ".join(f"UNION ALL SELECT 'indicator_rows', '{c}_' || {c}, count(*) FROM train GROUP BY {c}"
+            for c in ("machine_id", "shift", "material_batch"))})
+  SELECT kind, name, exact_round(value, 6) AS value FROM cells"""
+ORACLE["model_checks"] = f"""WITH {P}, tested AS (SELECT count(*) AS n FROM p WHERE {_TEST})
+  SELECT model, n AS tested_rows, n AS cell_rows, CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS missing
+  FROM tested, (SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient Boosting']) AS model)"""
+
+
+def _spelled_out(sql: str) -> str:
+    """Replaces exact_round(x, d), which rounds the stored binary value, by what DuckDB has for it."""
+    while (at := sql.find("exact_round(")) >= 0:
+        first = end = at + len("exact_round(")
+        depth = 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        value, _, digits = sql[first : end - 1].rpartition(",")
+        plain = f"CAST(printf('%.{int(digits)}f', CAST({value} AS DOUBLE)) AS DOUBLE)"
+        sql = sql[:at] + plain + sql[end:]
+    return sql
+
+
+ORACLE = {name: _spelled_out(sql) for name, sql in ORACLE.items()}

@@ -12,6 +12,7 @@ from linewarden.functions import risk as scales
 from linewarden.operators import compliance, evaluation, feedback, model, rootcause, summary
 from linewarden.operators import validation as quality
 from linewarden.functions.text import (
+    array_rounded,
     drivers_in_summary,
     join_list,
     percent_text,
@@ -23,7 +24,6 @@ from linewarden.plans import case_trace as trace_plan
 from linewarden.plans import feedback_loop as loop_plan
 from linewarden.plans import overview, spec_compliance as spec_plan
 from linewarden.session import configure
-from linewarden.sources.rulebook import load_limits
 from linewarden.sources.tables import coerce_numeric, project_existing
 from workload import views
 from workload.views import EXPORT_THRESHOLD, THRESHOLD
@@ -89,8 +89,8 @@ def scorecard_score(spark, d):
     score = scales.scorecard(intercept=views.INTERCEPT)
     return views.plain(spark, d).select(
         "part_id",
-        rounded(score, 6).alias("risk_score"),
-        rounded(scales.sigmoid(score), 4).alias("scrap_probability"),
+        array_rounded(score, 6).alias("risk_score"),
+        array_rounded(scales.sigmoid(score), 4).alias("scrap_probability"),
     )
 
 
@@ -141,7 +141,8 @@ def spec_flags(spark, d):
 
 @query
 def spec_compliance(spark, d):
-    return checked(spark, d).select("part_id", *trace_plan.SPEC_PART[1:])
+    """Through the gated job."""
+    return spec_plan.spec_compliance(views.plain(spark, d)).select("part_id", *trace_plan.SPEC_PART[1:])
 
 
 @query
@@ -495,9 +496,9 @@ def average_precision(spark, d):
 def ranking_unrounded(spark, d):
     """Both ranking metrics over scores with unbounded distinct values."""
     exact = views.production(spark, d).select(
-        "scrap", scales.sigmoid(rounded(F.col("risk_score"), 9)).alias("scrap_probability")
+        "scrap", scales.sigmoid(array_rounded(F.col("risk_score"), 9)).alias("scrap_probability")
     )
-    ranked = evaluation.ranking_metrics(evaluation.score_histogram(exact), ranges=64)
+    ranked = evaluation.ranking_metrics(evaluation.score_histogram(exact))
     return ranked.select(
         rounded(F.col("roc_auc"), 6).alias("roc_auc"),
         rounded(F.col("average_precision"), 6).alias("average_precision"),
@@ -635,9 +636,8 @@ def prediction_kpis(spark, d):
 
 @query
 def case_trace_table(spark, d):
-    return trace_plan.trace_table(
-        reviewed(spark, d), checked(spark, d), cases(spark, d)
-    ).select(
+    rows = trace_plan.trace_rows(views.scored(spark, d), views.feedback(spark, d), THRESHOLD)
+    return rows.select(
         "part_id", "scrap_probability", "review_decision", "spec_compliance_status",
         "violation_count", "actual_scrap", "feedback_classification",
         trace_plan.trace_sentence().alias("trace_summary"),
@@ -646,18 +646,16 @@ def case_trace_table(spark, d):
 
 @query
 def trace_case(spark, d):
-    return trace_plan.case_trace(reviewed(spark, d), checked(spark, d), cases(spark, d))
+    batch = views.scored(spark, d).drop("scrap")
+    return trace_plan.case_trace_job(batch, views.feedback(spark, d), THRESHOLD)
 
 
 @query
 def workflow_overview(spark, d):
-    plain = views.plain(spark, d)
     return overview.workflow_overview(
         overview.quality_card(views.raw(spark, d)),
         overview.review_card(reviewed(spark, d)),
-        overview.compliance_card(
-            compliance.with_compliance(plain), plain, len(load_limits())
-        ),
+        overview.compliance_card(views.plain(spark, d)),
         overview.feedback_card(cases(spark, d)),
     )
 
@@ -681,6 +679,19 @@ def split_profile(spark, d):
     return model.split_profile(views.plain(spark, d))
 
 
+@query
+def training_profile(spark, d):
+    profile = model.training_profile(views.plain(spark, d))
+    return profile.withColumn("value", rounded(F.col("value"), 6))
+
+
+@query
+def model_checks(spark, d):
+    """What must hold for every model, whatever it has learned."""
+    names = [model.LOGISTIC, model.FOREST, model.BOOSTING]
+    return model.model_checks(views.plain(spark, d), fitted(spark, d, names))
+
+
 @query
 def scored_batch(spark, d):
     forest = fitted(spark, d, [model.FOREST])[model.FOREST]

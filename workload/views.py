@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from linewarden.config.production import PRODUCTION_COLUMNS
 from linewarden.functions.risk import scorecard, sigmoid
-from linewarden.functions.text import parse_number, rounded
-from linewarden.sources.tables import spread
+from linewarden.functions.text import parse_number
 
 INTERCEPT = -1.25
 THRESHOLD = 0.40
@@ -23,11 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def half_up(value: Column, decimals: int) -> Column:
+    """The rounding of the fixture definitions: scale, halves up, unscale."""
+    scale = float(10**decimals)
+    return F.floor(value * scale + 0.5) / scale
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scan = spread(
-        table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
-    )
-    return scan.withColumn("qty", F.col("l_quantity").cast("int"))
+    return table(spark, sf_dir, "lineitem").withColumn("qty", F.col("l_quantity").cast("int"))
 
 
 def _part_id(*columns: str) -> Column:
@@ -39,14 +41,14 @@ def _readings() -> dict[str, Column]:
     return {
         "machine_id": F.concat(F.lit("M"), (F.col("l_suppkey") % 4 + 1).cast("string")),
         "temperature_c": 172 + F.col("l_quantity") * 0.5,
-        "pressure_bar": rounded(4.9 + F.col("l_discount") * 20, 2),
-        "cycle_time_s": rounded(40 + (cents % 1500).cast("double") / 100, 2),
+        "pressure_bar": half_up(4.9 + F.col("l_discount") * 20, 2),
+        "cycle_time_s": half_up(40 + (cents % 1500).cast("double") / 100, 2),
         "shift": F.when(F.col("l_returnflag") == "A", "early")
         .when(F.col("l_returnflag") == "N", "late")
         .otherwise("night"),
         "material_batch": F.concat(F.lit("B"), (F.col("l_partkey") % 5 + 1).cast("string")),
         "operator_experience_years": (F.col("l_orderkey") % 80).cast("double") / 8,
-        "vibration_mm_s": rounded(1.5 + F.col("l_tax") * 25, 2),
+        "vibration_mm_s": half_up(1.5 + F.col("l_tax") * 25, 2),
         "humidity_percent": (35 + F.col("l_linenumber") * 5).cast("double"),
     }
 
@@ -74,7 +76,7 @@ def production(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[c for c in PRODUCTION_COLUMNS if c != "scrap"],
         F.when(F.col("luck") < F.col("raw_probability"), 1).otherwise(0).alias("scrap"),
         "risk_score",
-        rounded(F.col("raw_probability"), 4).alias("scrap_probability"),
+        half_up(F.col("raw_probability"), 4).alias("scrap_probability"),
         "has_feedback",
     )
 
@@ -131,6 +133,8 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = {
         **{n: c.cast("string") for n, c in readings.items()},
         "temperature_c": F.when(order % 89 == 0, "  ")
+        .when(order % 83 == 0, "\t")
+        .when(order % 79 == 0, "\u00a0")
         .when(order % 97 == 0, F.lit(None).cast("string"))
         .when(order % 101 == 0, "bad")
         .when(order % 103 == 0, "250.0")
