@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linewarden.llm.common import as_bytes, in_fold, steps
+from linewarden.llm.common import as_bytes, in_fold, slices, steps
 from linewarden.llm.tokens import SPACES, WordHasher, combined
 
 #: Documents of a block, about, and blocks to a shard.
@@ -145,7 +145,7 @@ def corpus_size(rows: DataFrame) -> tuple[int, int]:
     """(N, V): tokens and distinct tokens of all training texts."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 5_000):
             texts = as_bytes(batch.column(0))
             for a, b in steps(texts, 16_000_000):
                 found, times = np.unique(tokens(texts[a:b])[0], return_counts=True)

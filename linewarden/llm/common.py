@@ -49,6 +49,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator, rows: int = 1_000) -> Iterator:
+    """Arrays or record batches in slices of so many rows, so that little of a batch is unpacked at a time."""
+    for batch in batches:
+        for start in range(0, max(1, len(batch)), rows):
+            yield batch.slice(start, rows)
+
+
 def as_bytes(texts: pa.Array) -> list[bytes]:
     """UTF-8 bytes of every text; a null text is empty."""
     return [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]

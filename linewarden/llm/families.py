@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linewarden.llm.common import as_bytes, in_fold, steps
+from linewarden.llm.common import as_bytes, in_fold, slices, steps
 
 #: Hashed runs of 2, 3 and 4 bytes; documents of each language that a model is fitted on at most, about.
 BUCKETS, SAMPLE_ROWS = 2048, 500
@@ -212,7 +212,7 @@ def add_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     @F.arrow_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = as_bytes(batch)
             names, scores = [], [np.zeros(0)]
             for a, b in steps(texts):

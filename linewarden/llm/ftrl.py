@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linewarden.llm.common import as_bytes, in_fold, labelled_sample, steps
+from linewarden.llm.common import as_bytes, in_fold, labelled_sample, slices, steps
 from linewarden.llm.tokens import SPACES, WordHasher, combined, marks, mixed
 
 #: Weights, labelled rows that a model is fitted on at most, about, rounds over them, and tasks that train apart.
@@ -132,7 +132,7 @@ def add_score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> Data
     @F.arrow_udf(T.DoubleType())
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, weight = WordHasher(SPACES), shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts, out = as_bytes(batch), [np.zeros(0)]
             for a, b in steps(texts):
                 rows, bounds = grams(texts[a:b], words)

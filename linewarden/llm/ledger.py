@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linewarden.llm.common import as_bytes, steps
+from linewarden.llm.common import as_bytes, slices, steps
 from linewarden.llm.tokens import SPACES, Spans, WordHasher, combined, marks, mixed
 
 SYMBOLS = b"#*$%&|<>"
@@ -92,7 +92,7 @@ def measured(texts: list[bytes], words: WordHasher, lines: WordHasher) -> list[n
 @F.arrow_udf(T.StructType([T.StructField(name, T.LongType()) for name in MEASURES]))
 def measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     words, lines = WordHasher(SPACES, lower=False), WordHasher(b"\n", lower=False)
-    for batch in batches:
+    for batch in slices(batches):
         texts = as_bytes(batch)
         parts = [measured(texts[a:b], words, lines) for a, b in steps(texts)]
         columns = [np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts)]) for i in range(len(MEASURES))]

@@ -24,19 +24,18 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linewarden.llm.common import STEP_CHARS, steps
+from linewarden.llm.common import STEP_CHARS, slices, steps
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stands between words in an index; no character.
 GAP = 0x110000
 #: Distinct words whose ids a task keeps.
-KEPT_WORDS = 250_000
-KEPT_PAIRS = 500_000
+KEPT_WORDS = 200_000
 #: Slots of the table of answers about pairs of pieces, a power of two.
-SLOTS = 1 << 20
+SLOTS = 1 << 21
 #: Words that are gathered before they are indexed, and characters of one index.
-NEW_WORDS, INDEXED = 60_000, 700_000
+NEW_WORDS, INDEXED = 60_000, 450_000
 SPACED = re.compile(" +[^ ]*")
 
 
@@ -101,7 +100,6 @@ class Encoder:
     numbers: dict[str, int] = field(default_factory=dict)
     firsts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     flat: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
-    pairs: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.answers = np.full(SLOTS, -2, np.int64)
@@ -192,14 +190,8 @@ class Encoder:
         asked, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
         told = asked.copy()
         for i, at in enumerate(missing[first].tolist()):
-            key = int(asked[i])
-            good = self.pairs.get(key)
-            if good is None:
-                good = self.pairs[key] = self.stays(int(left[at]), int(right[at]))
-            told[i] |= good
+            told[i] |= self.stays(int(left[at]), int(right[at]))
         held[missing] = self.answers[slots[missing]] = told[which]
-        if len(self.pairs) > KEPT_PAIRS:
-            self.pairs.clear()
         return (held & 1).astype(bool)
 
     def relax(self, text: np.ndarray, begins: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,6 +250,10 @@ class Encoder:
         self.firsts = np.concatenate([self.firsts, self.firsts[-1] + np.cumsum(counts)])
         self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
 
+    def forget(self) -> None:
+        """Lets go of the words; what was found out about pairs stays, in a table of fixed size."""
+        self.numbers, self.firsts, self.flat = {}, np.zeros(1, np.int64), np.zeros(0, np.int32)
+
     def learn_new(self, words: set[str]) -> None:
         """Encodes those of the words that are not known yet, so many characters at a time."""
         part, held = [], 0
@@ -282,7 +278,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Steps over the texts: which texts, the number of ids of each, and all their ids in order."""
         if len(self.numbers) > KEPT_WORDS:
-            self.numbers, self.firsts, self.flat = {}, np.zeros(1, np.int64), np.zeros(0, np.int32)
+            self.forget()
         spans = list(steps(texts, STEP_CHARS))
         new: set[str] = set()
         for a, b in spans:
@@ -314,7 +310,7 @@ ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.St
 
 @lru_cache(maxsize=1)
 def _encoder(vocabulary: Broadcast) -> Encoder:
-    """The encoder of a worker process: its next tasks know the words of the ones before."""
+    """The encoder of a worker process: its next tasks know the pairs of the ones before."""
     return Encoder(vocabulary.value)
 
 
@@ -330,7 +326,8 @@ def encoded(spark: SparkSession, text: Column, path: str = MODEL) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared)
         spelled = shared.value.spelled
-        for batch in batches:
+        encoder.forget()
+        for batch in slices(batches):
             if not len(batch):
                 yield pa.array([], STRUCT)
             texts = [t or "" for t in batch.to_pylist()]
@@ -343,6 +340,7 @@ def encoded(spark: SparkSession, text: Column, path: str = MODEL) -> Column:
                 ]
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
                 yield pa.StructArray.from_arrays([lists, pa.array(restored, pa.bool_())], ["ids", "restored"])
+        encoder.forget()
 
     return encode(text.cast("string"))
 

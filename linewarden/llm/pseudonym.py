@@ -18,6 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linewarden.llm.common import slices
+
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
@@ -226,7 +228,7 @@ def pseudonymised(text: Column, key: bytes, undo: bool = False) -> Column:
     @F.arrow_udf(REPLACED)
     def change(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         permute = Permutation(key, undo)
-        for batch in batches:
+        for batch in slices(batches):
             found = [(None, []) if t is None else replaced(t, permute) for t in batch.to_pylist()]
             texts, spans = ([f[i] for f in found] for i in (0, 1))
             yield pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(spans, SPANS)], ["text", "spans"])

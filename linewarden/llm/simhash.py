@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linewarden.llm.common import as_bytes, shared_folder
+from linewarden.llm.common import as_bytes, shared_folder, slices
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -47,7 +47,7 @@ def text_fingerprint(text: bytes) -> int:
 
 @F.arrow_udf(T.LongType())
 def fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
+    for texts in slices(batches):
         yield pa.array([text_fingerprint(t) for t in as_bytes(texts)], pa.int64())
 
 
