@@ -22,6 +22,8 @@ NEAR = 0.2
 MOST_REMOVED = 0.5
 #: For a pipeline: a line of more than LONG_WORDS words is spread from LONG_SITES sites on.
 LONG_WORDS, LONG_SITES = 50, 2
+#: For a pipeline: only a document with fewer characters than this outside spread lines is left whole.
+FEW_CHARS = 20
 BLANK = " \t\r\x0b\x0c"
 
 
@@ -72,13 +74,15 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, long_sites: int |
 def without_boilerplate(
     docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, most_removed: float = MOST_REMOVED,
     long_words: int | None = None, long_sites: int = LONG_SITES,
+    few_chars: int | None = None,
 ) -> DataFrame:
     """`docs` with boilerplate lines cut from `text`, and the count in `lines_removed`.
 
     A line of a document goes if at least `min_sites` distinct sites have it and a smaller id has it too: the
     first document keeps it. Lines are compared without blanks at their ends. A document with more than
     `most_removed` of its characters in such lines is left whole, as are null and empty texts and rows without an
-    id. With `long_words`, `long_sites` sites are enough for lines of more words than that. Rows that repeat an id share one decision over the lines of all of them. A column named `lines_removed`
+    id. With `long_words`, `long_sites` sites are enough for lines of more words than that. With `few_chars` only
+    a document with fewer characters outside such lines is left whole, whatever their share. Rows that repeat an id share one decision over the lines of all of them. A column named `lines_removed`
     is replaced.
     """
     lines = written(line_table(docs, site, long_words), "lines")
@@ -88,9 +92,11 @@ def without_boilerplate(
         F.collect_set("line").alias("cut"), F.sum("chars").alias("cut_chars")
     ).select(F.col("doc_id").alias("cut_id"), "cut", "cut_chars")
     whole = lines.groupBy("doc_id").agg(F.sum("chars").alias("all_chars"))
-    decided = totals.join(whole, totals.cut_id == whole.doc_id).where(
-        F.col("cut_chars") <= most_removed * F.col("all_chars")
-    ).select("cut_id", "cut")
+    if few_chars is None:
+        enough = F.col("cut_chars") <= most_removed * F.col("all_chars")
+    else:
+        enough = F.col("all_chars") - F.col("cut_chars") >= few_chars
+    decided = totals.join(whole, totals.cut_id == whole.doc_id).where(enough).select("cut_id", "cut")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"))
     met = rows.join(decided, F.col("own_id") == F.col("cut_id"), "left")
     pieces = F.split(F.col("row.text").cast("string"), "\n")
