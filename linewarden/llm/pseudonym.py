@@ -35,6 +35,12 @@ PATTERNS = {
     "secret": r"(?<!\w)(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?!\w)",
 }
 VALUE = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()), re.ASCII)
+ALONE = {kind: re.compile(pattern, re.ASCII) for kind, pattern in PATTERNS.items()}
+#: The first word of a value, at least one character.
+WORD = re.compile(r"\w+|\W", re.ASCII)
+WORD_CHARACTER = re.compile(r"\w", re.ASCII)
+#: The longest run of digits that can be a card number, and the least number of them.
+RUN, LEAST_DIGITS = re.compile(r"\d(?:[ -]?\d){0,18}", re.ASCII), 13
 LIKELY = re.compile("[0-9@]")
 #: Alphabets whose characters stand for each other.
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -130,14 +136,20 @@ def iban(text: str, permute: Permutation) -> str | None:
 def day(text: str, permute: Permutation) -> str | None:
     sign = re.search(r"\D", text)[0]
     parts = text.split(sign)
-    order = (0, 1, 2) if len(parts[0]) == 4 else (2, 0, 1) if sign == "/" else (2, 1, 0)
+    day_first = sign != "/" or int(parts[0]) > 12
+    order = (0, 1, 2) if len(parts[0]) == 4 else (2, 1, 0) if day_first else (2, 0, 1)
     try:
         number = date(*(int(parts[i]) for i in order)).toordinal()
     except ValueError:
         return None
     if not FIRST_DAY <= number <= LAST_DAY:
         return None
-    fresh = date.fromordinal(FIRST_DAY + permute("date", number - FIRST_DAY, LAST_DAY - FIRST_DAY + 1))
+    while True:
+        number = FIRST_DAY + permute("date", number - FIRST_DAY, LAST_DAY - FIRST_DAY + 1)
+        fresh = date.fromordinal(number)
+        # a slash date that is told by its day stays so, or the way back would read another one
+        if sign != "/" or order != (2, 1, 0) or fresh.day > 12:
+            break
     for i, value in zip(order, (f"{fresh.year:04d}", f"{fresh.month:02d}", f"{fresh.day:02d}"), strict=True):
         parts[i] = value
     return sign.join(parts)
@@ -192,20 +204,70 @@ KINDS: dict[str, Callable[[str, Permutation], str | None]] = {
 }
 
 
+def is_card(text: str) -> bool:
+    digits = re.sub(r"\D", "", text)
+    return check_digit(digits[:-1]) == digits[-1]
+
+
+def card_at(text: str, start: int, tried: list[tuple[int, int]], permute: Permutation) -> tuple[int, str] | None:
+    """(end, pseudonym) of the card number of 13 to 19 digits that starts here, the longest first.
+
+    What fails is added to `tried`. The pseudonym is one with which all that was tried before fails again, so that the
+    way back finds the same place.
+    """
+    run = RUN.match(text, start).group()
+    ends = [start + m.end() for m in re.finditer(r"\d+", run)]
+    for end in reversed(ends):
+        digits = re.sub(r"\D", "", text[start:end])
+        if len(digits) < LEAST_DIGITS or WORD_CHARACTER.match(text, end):
+            continue
+        if is_card(digits):
+            fresh = card(text[start:end], permute)
+            near = [(a, b) for a, b in tried if b > start]
+            while any(is_card(text[a:start] + fresh[max(0, a - start) : b - start] + text[end:b]) for a, b in near):
+                fresh = card(fresh, permute)
+            return end, fresh
+        tried.append((start, end))
+    return None
+
+
+def found_at(text: str, match: re.Match, tried: list[tuple[int, int]], permute: Permutation) -> tuple[str, int, str] | None:
+    """(kind, end, pseudonym) of the first kind whose pattern and checks hold at a match's start."""
+    for kind, pattern in ALONE.items():
+        own = pattern.match(text, match.start())
+        if own is None:
+            continue
+        if kind == "card":
+            if inner := card_at(text, own.start(), tried, permute):
+                return kind, *inner
+        elif (fresh := KINDS[kind](own.group(), permute)) is not None:
+            return kind, own.end(), fresh
+    return None
+
+
 def replaced(text: str, permute: Permutation) -> tuple[str, list[dict]]:
-    """The text with pseudonyms, and (kind, start, length) of each in the new text."""
+    """The text with pseudonyms, and (kind, start, length) of each in the new text.
+
+    Where no kind's checks hold the search goes on behind the first word of what was refused.
+    """
     if not LIKELY.search(text):
         return text, []
-    parts, spans, at, size = [], [], 0, 0
-    for match in VALUE.finditer(text):
-        fresh = KINDS[match.lastgroup](match.group(), permute)
-        if fresh is None:
+    parts, spans, at, size, look = [], [], 0, 0, 0
+    tried: list[tuple[int, int]] = []
+    while match := VALUE.search(text, look):
+        start = match.start()
+        tried = [t for t in tried if t[1] > start]
+        found = found_at(text, match, tried, permute)
+        if found is None:
+            look = WORD.match(text, start).end()
             continue
-        parts += [text[at : match.start()], fresh]
-        size += match.start() - at
-        spans.append({"kind": match.lastgroup, "start": size, "length": len(fresh)})
+        kind, end, fresh = found
+        parts += [text[at:start], fresh]
+        size += start - at
+        spans.append({"kind": kind, "start": size, "length": len(fresh)})
         size += len(fresh)
-        at = match.end()
+        at = look = end
+        tried = []
     return "".join([*parts, text[at:]]), spans
 
 
