@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from linewarden.llm.ledger import MEASURES, RULES
+from linewarden.llm.phrases import COVERED, MIN_COUNT, SCALE, TOP
 from linewarden.llm.spread import MIN_SITES, MOST_REMOVED
 
 #: The blanks that are cut from the ends of a line.
@@ -65,4 +66,64 @@ LLM_ORACLE: dict[str, str] = {
             CAST(CASE WHEN cut IS NULL THEN 0 ELSE len(pieces) - len(stays) END AS BIGINT) AS lines_removed
         FROM kept
     """,
+    "op12_boundaries": rf"""
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest,
+                regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*{WORDS}|[\x20\x09-\x0D]+') AS units
+            FROM documents
+        ), numbered AS (
+            SELECT *, len(units) AS n, {", ".join(f"CAST('0x' || substr(digest, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))}
+            FROM drawn
+        ), decided AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM numbered
+        ), parted AS (
+            SELECT *, array_to_string(units[:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+                array_to_string(units[high + 1:], '') AS suffix
+            FROM decided
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+            CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars,
+            CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+            sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+            sha256(text) AS restored_sha256
+        FROM parted
+    """,
+    "op13_rollup": rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents WHERE text IS NOT NULL
+        ), words AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+        ), sizes AS (
+            SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang
+        ), grams AS (
+            SELECT lang, size, array_to_string(ws[spot:spot + size - 1], ' ') AS phrase
+            FROM (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS spot FROM words, range(1, 5) AS lengths(size))
+        ), counts AS (
+            SELECT lang, size, phrase, CAST(count(*) AS BIGINT) AS a FROM grams GROUP BY ALL HAVING count(*) >= {MIN_COUNT}
+        ), cuts AS (
+            SELECT *, array_to_string(string_split(phrase, ' ')[:k], ' ') AS f, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS e
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM counts WHERE size > 1)
+        ), judged AS (
+            SELECT c.lang, c.phrase, c.size, c.a, x.a AS l, y.a AS r, k,
+                CAST(CAST({SCALE} AS HUGEINT) * c.a // (CAST(x.a AS HUGEINT) + y.a) AS BIGINT) AS score
+            FROM cuts AS c JOIN counts AS x ON x.lang = c.lang AND x.phrase = f JOIN counts AS y ON y.lang = c.lang AND y.phrase = e
+        ), least AS (
+            SELECT * FROM judged QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inner_parts AS (
+            SELECT DISTINCT lang, a, array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') AS phrase
+            FROM (SELECT *, unnest(range(1, size - s + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS s FROM counts WHERE size > 2))
+        ), covered AS (
+            SELECT lang, phrase, max(a) AS longest FROM inner_parts GROUP BY ALL
+        )
+        SELECT least.lang, CAST(row_number() OVER (PARTITION BY least.lang ORDER BY score DESC, a DESC, encode(phrase)) AS BIGINT) AS rank,
+            phrase, a, l, r, n, score
+        FROM least JOIN sizes USING (lang) LEFT JOIN covered USING (lang, phrase)
+        WHERE longest IS NULL OR 100 * CAST(longest AS HUGEINT) < {COVERED} * CAST(a AS HUGEINT) QUALIFY rank <= {TOP}
+    """,
 }

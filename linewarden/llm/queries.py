@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewarden.llm import automaton, families, ftrl, latent, ledger, pieces, pseudonym, simhash, spread, toxicity
-from linewarden.llm.common import in_fold, table
+from linewarden.llm import (
+    automaton, families, ftrl, idfile, latent, ledger, middle, phrases, pieces, pseudonym, simhash, spread, toxicity,
+)
+from linewarden.llm.common import in_fold, new_folder, table
 
 
 #: Key of the registered query only; a real corpus takes a secret one.
@@ -84,6 +86,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_idfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "id-files")
+    idfile.write(table(spark, sf_dir, "documents"), folder)
+    return idfile.digests(spark, folder)
+
+
+def op12_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = middle.rearranged(table(spark, sf_dir, "documents"))
+    back = middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def op13_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudonym": op1_pseudonym,
     "op2_ledger": op2_ledger,
@@ -95,4 +116,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_line_spread": op9_line_spread,
     "op10_toxicity": op10_toxicity,
+    "op11_idfile": op11_idfile,
+    "op12_boundaries": op12_boundaries,
+    "op13_rollup": op13_rollup,
 }

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from linewarden.llm import automaton, families, ftrl, latent, ledger, pieces, pseudonym, simhash, spread, toxicity
-from linewarden.llm.common import in_fold
+from linewarden.llm import (
+    automaton, families, ftrl, idfile, latent, ledger, middle, phrases, pieces, pseudonym, simhash, spread, toxicity,
+)
+from linewarden.llm.common import in_fold, new_folder
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
@@ -52,6 +54,12 @@ def languages(docs):
     return families.add_language(docs, families.fit(docs)).select("doc_id", "found.*")
 
 
+def id_files(docs):
+    folder = new_folder(docs.sparkSession, "test-ids")
+    idfile.write(docs, folder)
+    return idfile.digests(docs.sparkSession, folder)
+
+
 PER_ROW = {
     "pseudonym": lambda d, l: d.select("doc_id", pseudonym.pseudonymised(F.col("text"), b"k").alias("r")).select("doc_id", "r.*"),
     "ledger": lambda d, l: ledger.ledger(d),
@@ -62,6 +70,8 @@ PER_ROW = {
     "pieces": lambda d, l: d.select("doc_id", pieces.encoded(d.sparkSession, F.col("text")).alias("r")).select("doc_id", "r.*"),
     "spread": lambda d, l: spread.without_boilerplate(d),
     "toxicity": lambda d, l: toxicity.fit(d, l).add_score(d, "toxic_score"),
+    "idfile": lambda d, l: id_files(d),
+    "middle": lambda d, l: middle.rearranged(d),
 }
 
 
