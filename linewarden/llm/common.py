@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
@@ -28,16 +27,12 @@ def in_fold(key: Column, modulus: int, remainder: int) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all machines of the cluster see, for checkpoints and intermediate tables.
 
-    It is spark.checkpoint.dir. Only a local session without one, as in tests, gets a temporary folder.
+    It is spark.checkpoint.dir; where that is unset, a folder in the warehouse, which a cluster shares as well.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return context.getCheckpointDir()
 
 
@@ -47,11 +42,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: its lineage ends there."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """The frame as a table in a new folder of the shared one: its lineage ends there."""
+    return written_to(df, new_folder(df.sparkSession, name))
+
+
+def written_to(df: DataFrame, folder: str) -> DataFrame:
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def removed(spark: SparkSession, *folders: str) -> None:
+    """Deletes intermediate tables that nothing reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in folders:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batches: Iterator, rows: int = 1_000) -> Iterator:

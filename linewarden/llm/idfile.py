@@ -18,10 +18,11 @@ task is written again or not at all:
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linewarden.llm.common import as_bytes, slices, steps, words_of, written
+from linewarden.llm.common import as_bytes, new_folder, removed, slices, steps, words_of, written_to
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Ends every document.
@@ -38,7 +39,10 @@ END_ID = 2
 #: Ids of a block, about: a document is never split, so a longer one is a block of its own.
 BLOCK_IDS = 1 << 18
 #: Distinct words whose ids a worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 600_000
+#: Words of printable ASCII, and the splitter's parts of them in lower case (fixed values of the vocabulary's file).
+PLAIN = re.compile(rb"[!-~]+")
+PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Ids are handed on as unsigned integers of so many bits.
 ID_TYPE = np.dtype("<u4")
 
@@ -71,43 +75,79 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return values
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Encodes texts word by word, each distinct word once; a worker keeps words up to a bound.
 
     The vocabulary's splitter drops white space and none of its steps reaches over it, so the ids of a text are those of
-    its words one after the other (tested against encoding whole texts).
+    its words one after the other. Words of printable ASCII are cut by the splitter's pattern here, and only distinct
+    parts go to the library's model; all other words go through the whole library (both tested against whole texts).
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.forget()
-
-    def forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.firsts, self.flat = np.zeros(1, np.int64), np.zeros(0, ID_TYPE)
-
-    def learn(self, words: list[bytes]) -> None:
-        if not words:
+        self.parts: dict[bytes, bytes] = {}
+        self.fresh: list[bytes] = []
+        self.firsts, self.flat, self.uses = np.zeros(1, np.int64), np.zeros(0, ID_TYPE), np.zeros(0, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+    def part(self, part: bytes) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.parts[part] = array("I", [token.id for token in self.model.tokenize(part.decode())]).tobytes()
+        return ids
+
+    def learn(self) -> None:
+        """Works out the ids of the words met since the last call."""
+        found: list[bytes] = []
+        others = []
+        for at, word in enumerate(self.fresh):
+            if PLAIN.fullmatch(word) and b"<|" not in word:
+                parts = PARTS.findall(word.lower())
+                found.append(self.part(parts[0]) if len(parts) == 1 else b"".join(map(self.part, parts)))
+            else:
+                others.append(at)
+                found.append(b"")
+        whole = [self.fresh[at].decode("utf-8", "replace") for at in others]
+        for at, told in zip(others, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+            found[at] = array("I", told.ids).tobytes()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ID_TYPE.itemsize
+        self.firsts = np.concatenate([self.firsts, self.firsts[-1] + np.cumsum(sizes)])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), ID_TYPE)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(found), np.int64)])
+        self.fresh = []
+
+    def thin(self) -> None:
+        """Keeps the words that were met more than once since they came, at most half of the bound."""
+        if len(self) <= KEPT_WORDS:
             return
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [f.ids for f in found]
-        self.numbers.update(zip(words, range(len(self.numbers), len(self.numbers) + len(words)), strict=True))
-        ends = self.firsts[-1] + np.cumsum([len(i) for i in ids])
-        self.firsts = np.concatenate([self.firsts, ends])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), ID_TYPE)])
+        kept = np.flatnonzero(self.uses > 1)[: KEPT_WORDS // 2]
+        words = list(self)
+        sizes = np.diff(self.firsts)[kept]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        self.flat = self.flat[np.arange(ends[-1]) + np.repeat(self.firsts[kept] - ends[:-1], sizes)]
+        self.firsts, self.uses = ends, np.zeros(len(kept), np.int64)
+        self.clear()
+        self.update(zip(map(words.__getitem__, kept.tolist()), range(len(kept)), strict=True))
+        self.parts = {}
 
     def __call__(self, texts: list[bytes], end_id: int) -> Iterator[np.ndarray]:
         """The ids of every text, the end id behind them."""
         for a, b in steps(texts):
             words, bounds = words_of(texts[a:b])
-            if len(self.numbers) > KEPT_WORDS:
-                self.forget()
-            self.learn(list(set(words) - self.numbers.keys()))
-            numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+            self.thin()
+            numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+            self.learn()
+            self.uses += np.bincount(numbers, minlength=len(self.uses))
             counts = self.firsts[numbers + 1] - self.firsts[numbers]
             ends = np.zeros(len(words) + 1, np.int64)
             np.cumsum(counts, out=ends[1:])
@@ -122,25 +162,30 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def token_bytes(text: Column, path: str = VOCABULARY, end_id: int = END_ID) -> Column:
-    """The ids of a column of texts, closed by the end id, as little-endian 32-bit integers; null is an empty text."""
+def stored(size: int) -> np.dtype:
+    """The type of ids below `size` in intermediate tables."""
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
+
+
+def token_bytes(text: Column, kind: np.dtype, path: str = VOCABULARY, end_id: int = END_ID) -> Column:
+    """The ids of a column of texts, closed by the end id, as integers of this type; null is an empty text."""
 
     @F.arrow_udf("binary")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in slices(batches):
-            yield pa.array([ids.tobytes() for ids in _encoder(path)(as_bytes(batch), end_id)], pa.binary())
+            yield pa.array([ids.astype(kind).tobytes() for ids in _encoder(path)(as_bytes(batch), end_id)], pa.binary())
 
     return encoded(text.cast("string"))
 
 
-def frequencies(tokens: DataFrame) -> DataFrame:
+def frequencies(tokens: DataFrame, kind: np.dtype) -> DataFrame:
     """(id, n): how often each id occurs in `ids`; every task sends an id at most once."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for ids in slices([batch.column(0)]):
-                found = np.bincount(np.frombuffer(b"".join(as_bytes(ids)), ID_TYPE))
+                found = np.bincount(np.frombuffer(b"".join(as_bytes(ids)), kind))
                 if len(found) > len(total):
                     found, total = total, found
                 total[: len(found)] += found
@@ -163,7 +208,7 @@ def ranked(counts: DataFrame, size: int) -> np.ndarray:
 BLOCK = "part long, seq long, skip long, n long, doc_ids array<long>, sizes array<long>, control binary, data binary"
 
 
-def blocks(tokens: DataFrame, ranks: np.ndarray) -> DataFrame:
+def blocks(tokens: DataFrame, ranks: np.ndarray, kind: np.dtype) -> DataFrame:
     """Blocks of (doc_id, ids, n_tokens, mark, row), dealt over files by ranges of ids and packed in their order."""
     ordered = tokens.repartitionByRange("doc_id", "n_tokens", "mark", "row").sortWithinPartitions(
         "doc_id", "n_tokens", "mark", "row"
@@ -176,9 +221,9 @@ def blocks(tokens: DataFrame, ranks: np.ndarray) -> DataFrame:
         size = 0
 
         def block() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(i for _, i in held), ID_TYPE)
+            ids = np.frombuffer(b"".join(i for _, i in held), kind)
             control, data = pack(shared.value[ids])
-            row = (part, seq, skip, len(ids), [d for d, _ in held], [len(i) // ID_TYPE.itemsize for _, i in held], control, data)
+            row = (part, seq, skip, len(ids), [d for d, _ in held], [len(i) // kind.itemsize for _, i in held], control, data)
             whole, many = pa.int64(), pa.list_(pa.int64())
             kinds = (whole, whole, whole, whole, many, many, pa.binary(), pa.binary())
             names = ("part", "seq", "skip", "n", "doc_ids", "sizes", "control", "data")
@@ -188,7 +233,7 @@ def blocks(tokens: DataFrame, ranks: np.ndarray) -> DataFrame:
             for rows in slices([batch]):
                 for pair in zip(rows.column("doc_id").to_pylist(), rows.column("ids").to_pylist(), strict=True):
                     held.append(pair)
-                    size += len(pair[1]) // ID_TYPE.itemsize
+                    size += len(pair[1]) // kind.itemsize
                     if size >= BLOCK_IDS:
                         yield block()
                         seq, skip, held, size = seq + 1, skip + size, [], 0
@@ -203,22 +248,25 @@ def write(docs: DataFrame, folder: str, path: str = VOCABULARY, end_id: int = EN
 
     Documents stand in ascending order of doc_id; rows without an id come first, rows that repeat one by their number
     of ids and a digest of them. A null or empty text is the end id alone. An empty table gives empty tables. Other
-    columns are not read. Texts are encoded once into a table in the shared folder, which is read twice: for the
-    frequencies and to be packed. What is broadcast is one rank for each id of the vocabulary.
+    columns are not read. Texts are encoded once into a table in the shared folder, which is read for the
+    frequencies, to be dealt and to be packed, and then deleted. What is broadcast is one rank for each id of the vocabulary.
     """
     spark = docs.sparkSession
+    size = max(WordEncoder(path).size, end_id + 1)
+    kind = stored(size)
     encoded = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), token_bytes(F.col("text"), path, end_id).alias("ids")
+        F.col("doc_id").cast("long").alias("doc_id"), token_bytes(F.col("text"), kind, path, end_id).alias("ids")
     ).select(
-        "doc_id", "ids", (F.octet_length("ids") / ID_TYPE.itemsize).cast("long").alias("n_tokens"),
+        "doc_id", "ids", (F.octet_length("ids") / kind.itemsize).cast("long").alias("n_tokens"),
         F.xxhash64("ids").alias("mark"), F.monotonically_increasing_id().alias("row"),
     )
-    tokens = written(encoded, "token-ids")
-    size = max(WordEncoder(path).size, end_id + 1)
-    ranks = ranked(frequencies(tokens), size)
+    held = new_folder(spark, "token-ids")
+    tokens = written_to(encoded, held)
+    ranks = ranked(frequencies(tokens, kind), size)
     rows = [(i, r) for i, r in enumerate(ranks.tolist())]
     spark.createDataFrame(rows, "id long, rank long").coalesce(1).write.parquet(f"{folder}/ranks")
-    blocks(tokens, ranks).write.parquet(f"{folder}/blocks")
+    blocks(tokens, ranks, kind).write.parquet(f"{folder}/blocks")
+    removed(spark, held)
     totals = spark.read.parquet(f"{folder}/blocks").groupBy("part").agg(F.sum("n").alias("n"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     totals.select("part", before.alias("before")).write.parquet(f"{folder}/parts")

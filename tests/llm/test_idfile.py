@@ -85,3 +85,22 @@ def test_repeated_and_missing_ids_follow_each_other(spark):
     rows = sorted((r.start, r.n_tokens, r.doc_id) for r in idfile.digests(spark, folder).collect())
     assert [r[2] for r in rows] == [None, None, 1, 2, 2]
     assert [r[0] for r in rows] == np.cumsum([0, *(r[1] for r in rows)]).tolist()[:-1]
+
+
+def test_words_that_are_kept_and_forgotten(library, monkeypatch):
+    monkeypatch.setattr(idfile, "KEPT_WORDS", 6)
+    encoder = idfile.WordEncoder(idfile.VOCABULARY)
+    for turn in range(30):
+        texts = [f"the cat and The dog{turn} o'clock!'s {turn * 7919} it's", ODD[turn % len(ODD)], "the the cat"]
+        found = [ids.tolist() for ids in encoder([t.encode() for t in texts], idfile.END_ID)]
+        assert found == [library(t) for t in texts]
+    assert len(encoder) < 40
+
+
+def test_parts_of_ascii_words(library):
+    draw = np.random.default_rng(1)
+    signs = [*map(chr, range(33, 127)), *"''<|sStTmMdD", "'ll", "'RE", "<|endoftext|>"]
+    words = ["".join(draw.choice(signs, draw.integers(1, 12))) for _ in range(5_000)]
+    encoder = idfile.WordEncoder(idfile.VOCABULARY)
+    found = [ids.tolist() for ids in encoder([w.encode() for w in words], idfile.END_ID)]
+    assert found == [library(w) for w in words]
