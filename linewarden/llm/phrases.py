@@ -35,9 +35,8 @@ MIN_COUNT, LONGEST = 30, 4
 COVERED = 80
 SCALE, TOP = 2_000_000, 2_000
 UNKNOWN = "und"
-#: Hashed slots of each length, 2^SLOT_BITS in shards of 2^SHARD_BITS.
-SLOT_BITS, SHARD_BITS = 26, 18
-SHARDS = 1 << SLOT_BITS - SHARD_BITS
+#: Hashed slots of each length, 2^SLOT_BITS, in at most 2^SHARD_BITS shards.
+SLOT_BITS, SHARD_BITS = 26, 8
 #: Slots that a task gathers before it sends their counts, and bytes of text of one step over windows.
 GATHERED, STEP_BYTES = 4_000_000, 3_000_000
 WINDOW = tuple(f"w{k}" for k in range(1, LONGEST + 1))
@@ -81,10 +80,6 @@ class Reader:
         return Grams(spans, combined(spans.hashes, by_text[owners]), follows, owners)
 
 
-def slots_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
 def text_and_lang(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("string").alias("text")
@@ -105,13 +100,17 @@ def readings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Grams, list[st
 class Filter:
     """For each length a bit a slot: whether it holds MIN_COUNT occurrences or more. Lengths without bits let all pass."""
 
+    slot_bits: int
     bits: dict[int, np.ndarray]
 
+    def slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.slot_bits)).astype(np.int64)
+
     def passes(self, length: int, hashes: np.ndarray) -> np.ndarray:
         held = self.bits.get(length)
         if held is None:
             return np.ones(len(hashes), bool)
-        slots = slots_of(hashes)
+        slots = self.slots(hashes)
         return (held[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
 
     def reach(self, grams: Grams) -> np.ndarray:
@@ -141,15 +140,17 @@ def slot_counts(texts: DataFrame, lengths: Sequence[int], known: Filter) -> Filt
     """
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(known)
-    width = 1 << SHARD_BITS
+    low = max(3, known.slot_bits - SHARD_BITS)
+    width = 1 << low
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {length: [] for length in lengths}
         size = 0
         for grams, _ in readings(batches):
-            reach = shared.value.reach(grams)
+            known = shared.value
+            reach = known.reach(grams)
             for length in lengths:
-                held[length].append(slots_of(grams.of(length)[reach >= length]))
+                held[length].append(known.slots(grams.of(length)[reach >= length]))
                 size += len(held[length][-1])
             if size > GATHERED:
                 yield from sent(held)
@@ -160,10 +161,10 @@ def slot_counts(texts: DataFrame, lengths: Sequence[int], known: Filter) -> Filt
         for length, parts in held.items():
             slots, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *parts]), return_counts=True)
             counts = np.minimum(counts, MIN_COUNT).astype(np.uint8)
-            shards, firsts = np.unique(slots >> SHARD_BITS, return_index=True)
-            rows = []
-            for shard, a, b in zip(shards.tolist(), firsts, [*firsts[1:], len(slots)], strict=True):
-                control, data = pack(np.diff(slots[a:b] - (shard << SHARD_BITS), prepend=0))
+            shards, firsts = np.unique(slots >> low, return_index=True)
+            rows, bounds = [], np.append(firsts, len(slots))
+            for shard, a, b in zip(shards.tolist(), bounds[:-1], bounds[1:], strict=True):
+                control, data = pack(np.diff(slots[a:b] - (shard << low), prepend=0))
                 rows.append((length, shard, control, data, counts[a:b].tobytes()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
@@ -189,28 +190,35 @@ def slot_counts(texts: DataFrame, lengths: Sequence[int], known: Filter) -> Filt
 
     found = texts.mapInArrow(gathered, "length long, shard long, control binary, data binary, counts binary")
     found = found.repartition("length", "shard").mapInArrow(summed, "length long, shard long, bits binary")
-    bits = {length: np.zeros((1 << SLOT_BITS) // 8, np.uint8) for length in lengths}
+    bits = {length: np.zeros((1 << known.slot_bits) // 8, np.uint8) for length in lengths}
     for row in found.collect():
         bits[row.length][row.shard * width // 8 : (row.shard + 1) * width // 8] = np.frombuffer(row.bits, np.uint8)
     shared.destroy()
-    return Filter({**known.bits, **bits})
-
-
-def spelled(spans: Spans, at: np.ndarray, there: np.ndarray, codes: np.ndarray) -> pa.Array:
-    """The lower-cased words at these positions; an empty one where there is none."""
-    at = np.minimum(at, max(0, len(spans.starts) - 1))
-    sizes = np.where(there, spans.ends[at] - spans.starts[at], 0)
-    offsets = np.zeros(len(at) + 1, np.int64)
-    np.cumsum(sizes, out=offsets[1:])
-    places = np.arange(offsets[-1]) + np.repeat(spans.starts[at] - offsets[:-1], sizes)
-    data = codes[spans.raw[places]].tobytes()
-    return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.string())
+    return Filter(known.slot_bits, {**known.bits, **bits})
+
+
+def spelled(spans: Spans, at: np.ndarray, reach: np.ndarray, codes: np.ndarray) -> pa.Array:
+    """The windows that these words open, as many words as they reach, lower-cased and with a space between."""
+    total = np.concatenate([[0], np.cumsum(reach)])
+    words = np.arange(total[-1]) + np.repeat(at - total[:-1], reach)
+    starts, sizes = spans.starts[words], spans.ends[words] - spans.starts[words] + 1
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    data = codes[spans.raw[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)]]
+    # Every word was taken with the character behind it, which becomes the space; a window's last one goes.
+    data[ends[1:] - 1] = ord(" ")
+    stays = np.ones(len(data), bool)
+    full = reach > 0
+    stays[ends[total[1:][full]] - 1] = False
+    offsets = np.where(full, ends[total[1:]] - np.cumsum(full), 0)
+    offsets = np.concatenate([[0], np.maximum.accumulate(offsets)])
+    held = pa.py_buffer(data[stays].tobytes())
+    return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), held]).cast(pa.string())
 
 
 def windows(texts: DataFrame, keep: Filter) -> DataFrame:
-    """(lang, w1 to w4, a): windows with the number of words that open them; a padded column is empty.
+    """(lang, window, a): windows with the number of words that open them; padding, at a window's end, is left out.
 
-    Equal windows of one step of a task are one row. Words that open no phrase have windows of padding alone.
+    Equal windows of one step of a task are one row. Words that open no phrase have empty windows.
     """
     shared = texts.sparkSession.sparkContext.broadcast(keep)
 
@@ -226,22 +234,24 @@ def windows(texts: DataFrame, keep: Filter) -> DataFrame:
                 there = reach >= length
                 key[there] = grams.of(length)[there]
             _, at, times = np.unique(key, return_index=True, return_counts=True)
-            words = [spelled(grams.spans, at + k, reach[at] > k, codes) for k in range(LONGEST)]
             lang = pa.array(langs, pa.string()).take(pa.array(grams.owners[at]))
-            yield pa.RecordBatch.from_arrays([lang, *words, pa.array(times, pa.int64())], ["lang", *WINDOW, "a"])
+            window = spelled(grams.spans, at, reach[at], codes)
+            yield pa.RecordBatch.from_arrays([lang, window, pa.array(times, pa.int64())], ["lang", "window", "a"])
 
-    return texts.mapInArrow(found, f"lang string, {', '.join(f'{w} string' for w in WINDOW)}, a long")
+    return texts.mapInArrow(found, "lang string, window string, a long")
 
 
-def phrases(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", slot_bits: int = SLOT_BITS) -> DataFrame:
     """(lang, size, phrase, a): phrases of up to four words with at least MIN_COUNT occurrences, in the shared folder.
 
     The size of each language, its number of words, is the row of size 0.
     """
     texts = text_and_lang(docs, text, lang)
-    keep = slot_counts(texts, (1, 2), Filter({}))
+    keep = slot_counts(texts, (1, 2), Filter(slot_bits, {}))
     keep = slot_counts(texts, (3, 4), keep)
-    longest = windows(texts, keep).groupBy("lang", *WINDOW).agg(F.sum("a").alias("a"))
+    counted = windows(texts, keep).groupBy("lang", "window").agg(F.sum("a").alias("a"))
+    column = lambda k: F.coalesce(F.get(F.split("window", " "), k), F.lit(""))
+    longest = counted.select("lang", *[column(k).alias(w) for k, w in enumerate(WINDOW)], "a")
     prefixes = longest.rollup("lang", *WINDOW).agg(F.sum("a").alias("a"), F.grouping_id().alias("level"))
     # One bit for each column that is summed away, the last column's lowest.
     size = F.lit(LONGEST) - F.bit_count("level")
@@ -288,7 +298,9 @@ def covered(found: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "phrase").agg(F.max("a").alias("longest"))
 
 
-def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP) -> DataFrame:
+def collocations(
+    docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP, slot_bits: int = SLOT_BITS
+) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best `top` phrases of two to four words of each language.
 
     Ordered by score, then by occurrences, both descending, then by the phrase's bytes. Texts that are null, empty or
@@ -296,7 +308,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     result; very long texts are whole and other columns of `docs` are not read. A hot language is spread: windows are
     counted by their words, and only each task's best `top` of a language meet for the ranks.
     """
-    found = phrases(docs, text, lang)
+    found = phrases(docs, text, lang, slot_bits)
     sizes = found.where("size = 0").select("lang", F.col("a").alias("n"))
     kept = scored(found).join(covered(found), ["lang", "phrase"], "left").where(
         f"longest IS NULL OR CAST(100 AS DECIMAL(38,0)) * longest < CAST({COVERED} AS DECIMAL(38,0)) * a"

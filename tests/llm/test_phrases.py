@@ -71,13 +71,9 @@ def test_plain_count(docs):
 
 
 @pytest.mark.parametrize("bits", [3, 12])
-def test_crowded_slots_change_nothing(docs, bits, monkeypatch):
+def test_crowded_slots_change_nothing(docs, bits):
     """Few slots hold many phrases each: less is padded, the result is the same."""
-    monkeypatch.setattr(phrases, "SLOT_BITS", bits)
-    monkeypatch.setattr(phrases, "SHARD_BITS", bits)
-    monkeypatch.setattr(phrases, "GATHERED", 500)
-    monkeypatch.setattr(phrases, "STEP_BYTES", 300)
-    assert mined(docs) == plain(texts())
+    assert mined(docs, slot_bits=bits) == plain(texts())
 
 
 def test_empty_table(docs):
