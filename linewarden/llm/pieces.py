@@ -30,7 +30,7 @@ MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stands between words in an index; no character.
 GAP = 0x110000
-#: Distinct words whose ids a task keeps.
+#: Distinct words whose ids a worker keeps.
 KEPT_WORDS = 200_000
 #: Slots of the table of answers about pairs of pieces, a power of two.
 SLOTS = 1 << 21
@@ -129,31 +129,40 @@ class Encoder:
             most = int(ranks.max()) + 1
 
     def ranges(self, text: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The pieces whose characters all occur, for each the first suffix that starts with it, and their end."""
+        """The pieces whose characters all occur, for each the first suffix that starts with it, and their end.
+
+        Suffixes and pieces are compared some characters at a time, as numbers: the group of suffixes that a piece has
+        reached and its next characters. Each binary search leaves a piece with its range or with its next group.
+        """
         occurs = np.zeros(GAP + 2, bool)
         occurs[text] = occurs[-1] = True
         kept = np.flatnonzero(occurs[self.spellings].all(axis=1))
         spellings, lengths = self.spellings[kept], self.lengths[kept]
-        padded = np.concatenate([text, np.full(self.longest, GAP, np.int32)])
-        offsets = np.arange(self.longest)
-        inside = offsets < lengths[:, None]
-        found = []
-        for above in (False, True):
-            low, high = np.zeros(len(kept), np.int64), np.full(len(kept), len(order), np.int64)
-            while (open_ := np.flatnonzero(low < high)).size:
-                middle = (low[open_] + high[open_]) // 2
-                wanted = spellings[open_]
-                here = padded[order[middle][:, None] + offsets]
-                differs = (here != wanted) & inside[open_]
-                first = differs.argmax(axis=1)
-                rows = np.arange(len(open_))
-                differ = differs[rows, first]
-                less = differ & (here[rows, first] < wanted[rows, first])
-                onward = less | (~differ if above else False)
-                low[open_] = np.where(onward, middle + 1, low[open_])
-                high[open_] = np.where(onward, high[open_], middle)
-            found.append(low)
-        return kept, found[0], found[1]
+        alphabet = np.unique(text)
+        codes = np.zeros(len(text) + self.longest, np.int64)
+        codes[: len(text)] = np.searchsorted(alphabet, text) + 1
+        digits = np.searchsorted(alphabet, spellings) + 1
+        base, used = len(alphabet) + 2, 0
+        low, high = np.zeros(len(kept), np.int64), np.zeros(len(kept), np.int64)
+        group, open_, reached = np.zeros(len(order), np.int64), np.arange(len(kept)), np.zeros(len(kept), np.int64)
+        while len(open_):
+            width, most = 1, (int(group[-1]) + 1) * base
+            while used + width < self.longest and most * base < 2**62:
+                width, most = width + 1, most * base
+            keys, least, last = group, reached, reached
+            for k in range(used, used + width):
+                keys = keys * base + codes[order + k]
+                inside = lengths[open_] > k
+                least = least * base + np.where(inside, digits[open_, k], 0)
+                last = last * base + np.where(inside, digits[open_, k], base - 1)
+            used += width
+            starts, ends = np.searchsorted(keys, least), np.searchsorted(keys, last, "right")
+            done = lengths[open_] <= used
+            low[open_[done]], high[open_[done]] = starts[done], ends[done]
+            on = ~done & (starts < ends)
+            group = np.cumsum(np.diff(keys, prepend=keys[:1]) != 0)
+            open_, reached = open_[on], group[starts[on]]
+        return kept, low, high
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, length, piece) of every occurrence; a character that is no piece stands for itself."""
@@ -304,13 +313,24 @@ def spell(ids: list[int], spelled: tuple[bytes, ...]) -> str:
     return b"".join(map(spelled.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
+def spells(texts: list[str], ids: np.ndarray, offsets: np.ndarray, spelled: tuple[bytes, ...]) -> list[bool]:
+    """Whether the ids of each text, `offsets` apart, spell it again; space marks count as spaces."""
+    pieces = list(map(spelled.__getitem__, ids.tolist()))
+    ends = np.zeros(len(ids) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)), out=ends[1:])
+    raw, places = b"".join(pieces), ends[offsets].tolist()
+    return [
+        raw[begin + 1 : end] == text.replace(MARK, " ").encode() for text, begin, end in zip(texts, places[:-1], places[1:], strict=True)
+    ]
+
+
 STRUCT = pa.struct([("ids", pa.list_(pa.int32())), ("restored", pa.bool_())])
 ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("restored", T.BooleanType())])
 
 
 @lru_cache(maxsize=1)
 def _encoder(vocabulary: Broadcast) -> Encoder:
-    """The encoder of a worker process: its next tasks know the pairs of the ones before."""
+    """The encoder of a worker process: its next tasks know the pairs, and up to KEPT_WORDS words, of the ones before."""
     return Encoder(vocabulary.value)
 
 
@@ -326,7 +346,6 @@ def encoded(spark: SparkSession, text: Column, path: str = MODEL) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared)
         spelled = shared.value.spelled
-        encoder.forget()
         for batch in slices(batches):
             if not len(batch):
                 yield pa.array([], STRUCT)
@@ -334,13 +353,9 @@ def encoded(spark: SparkSession, text: Column, path: str = MODEL) -> Column:
             for a, b, sizes, ids in encoder.encode(texts):
                 offsets = np.zeros(b - a + 1, np.int32)
                 offsets[1:] = np.cumsum(sizes)
-                restored = [
-                    spell(ids[begin:end].tolist(), spelled) == text.replace(MARK, " ")
-                    for text, begin, end in zip(texts[a:b], offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
-                ]
+                restored = spells(texts[a:b], ids, offsets, spelled)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
                 yield pa.StructArray.from_arrays([lists, pa.array(restored, pa.bool_())], ["ids", "restored"])
-        encoder.forget()
 
     return encode(text.cast("string"))
 
