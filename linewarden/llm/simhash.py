@@ -112,12 +112,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` with one document left of each group, its smallest id; columns as they are.
-
-    Of rows that repeat an id one is left. Rows without an id can't be told apart and stay.
-    """
-    found = near_duplicates(docs)
-    keepers = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keepers, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+def kept_ids(docs: DataFrame) -> DataFrame:
+    """(doc_id): the smallest id of each group, distinct; none of rows without an id."""
+    return near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()

@@ -13,6 +13,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from test_copies import plain_roots
+
 from linewarden.llm import automaton, families, ftrl, latent, ledger, pieces, pseudonym, simhash, spread, tokens
 from linewarden.llm.oracle import LLM_ORACLE
 from linewarden.llm.queries import LLM_QUERIES
@@ -177,7 +179,8 @@ def test_decontamination(spark, documents):
     found = {(r.doc_id, r.item_id) for r in latent.contaminated(docs, bench).collect()}
     exact = {p for p in planted if p[0] < 500}
     assert exact <= found
-    assert len(planted & found) >= 0.9 * len(planted)
+    dropped = planted - exact
+    assert len(dropped & found) >= 0.9 * len(dropped)
     norm = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "
     whole = [(i, norm(t)) for i, t in zip(items["item_id"], items["text"], strict=True)]
     true = {(d, i) for d, t in rows for i, w in whole if w in norm(t)} | planted
@@ -186,6 +189,38 @@ def test_decontamination(spark, documents):
     assert len(found - true) <= 0.02 * len(found)
 
 
+def test_recall_with_a_basis_from_few_items(spark, monkeypatch):
+    """Against a brute-force subsequence search, with the SVD fitted on a tenth of 400 items."""
+    monkeypatch.setattr(latent, "SAMPLE_ITEMS", 40)
+    random = Random(31)
+    vocabulary = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "pu", "ra", "si") for b in ("bar", "den", "fig", "gol", "hum", "jan", "kor")]
+    vocabulary += [f"rare{k}" for k in range(600)]
+    draw = lambda n: [random.choice(vocabulary) for _ in range(n)]
+    items = {i: draw(random.randrange(18, 60)) for i in range(400)}
+    docs = {}
+    for i, words in items.items():
+        changed = [w for w in words if random.random() > 0.12]
+        around = draw(200)
+        docs[i] = around[:90] + changed + around[90:]
+    docs |= {1_000 + k: draw(250) for k in range(150)}
+    spread = lambda d: [(i, " ".join(w)) for i, w in d.items()]
+    found = latent.contaminated(
+        spark.createDataFrame(spread(docs), "doc_id long, text string"), spark.createDataFrame(spread(items), "item_id long, text string")
+    )
+    found = {(r.doc_id, r.item_id) for r in found.collect()}
+    true = set()
+    for i, words in items.items():
+        places, n = latent.bit_places(words), len(words)
+        for d, text in docs.items():
+            if len(set(words) & set(text)) * 2 < len(set(words)):
+                continue
+            reach = range(0, len(text), 4)
+            if max(latent.common_length(places, n, text[at : at + n]) for at in reach) >= latent.COMMON * n:
+                true.add((d, i))
+    assert len(true) > 300 and len(true & found) >= 0.9 * len(true)
+    assert not {d for d, _ in found if d >= 1_000}
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = {(r.doc_id, r.item_id) for r in latent.contaminated(docs, items).collect()}
@@ -317,7 +352,9 @@ def test_pipeline_is_its_stages(spark):
             assert all(set(after[i].text.split("\n")) <= set(t.split("\n")) for i, t in before.items())
         elif name == "near_dedup":
             roots = plain_components({i: plain_fingerprint(t) for i, t in before.items()})
-            assert set(after) == set(roots.values())
+            left = {i: before[i] for i in set(roots.values())}
+            copied = plain_roots({i: t for i, t in left.items() if (t or "").split()})
+            assert set(after) == {i for i in left if copied.get(i, i) == i}
         elif name == "decontamination":
             held = {r.doc_id for r in latent.contaminated(docs, spark.read.parquet(f"{DATA}/benchmark.parquet")).collect()}
             assert set(after) == set(before) - held and held
@@ -348,6 +385,6 @@ def test_registered():
     import __spark_entry__ as driver
 
     queries = driver.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in queries) == 1
     assert "pipeline" in queries and set(LLM_ORACLE) <= set(driver.oracle_sql())
