@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +14,8 @@ from linewarden.functions.risk import known, strict_band
 from linewarden.functions.text import array_rounded, as_double, parse_number, rounded
 
 CELLS = ("true_negative", "false_positive", "false_negative", "true_positive")
-#: Ranges into which probabilities are cut for running sums.
-RANGES = 1024
+#: Ranges into which the distinct scores are cut for running sums, about equally many in each.
+RANGES = 256
 SCORES = ("accuracy", "precision", "recall", "f1_score")
 
 
@@ -301,15 +302,26 @@ def score_histogram(
     )
 
 
+def score_ranges(histogram: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """The histogram with `range`, a number that falls with the score; about equally many rows in each range."""
+    shares = [k / ranges for k in range(1, ranges)]
+    bounds = sorted(set(histogram.approxQuantile("score", shares, 1 / (8 * ranges))))
+    splits = [float("-inf"), *(b for b in bounds if abs(b) != float("inf")), float("inf")]
+    if len(splits) < 3:
+        return histogram.withColumn("range", F.lit(0).cast("double"))
+    dealt = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(histogram)
+    return dealt.withColumn("range", -F.col("range"))
+
+
 def _running(histogram: DataFrame) -> DataFrame:
     """Histogram with the positives and negatives scored at least as high, for any number of scores.
 
-    Scores fall into RANGES equal ranges of [0, 1] and one beyond each end. Each range is summed up within itself
-    and shifted by the totals of the ranges above it, so no task sees more than its range. What is broadcast is one
-    row for each range. The range is a function of the score alone, so that both uses of it agree.
+    Bounds of about equally many distinct scores come from a quantile sketch, which tasks merge, so crowded scores
+    spread over the ranges like any others. Each range is summed up within itself and shifted by the totals of the
+    ranges above it, so no task sees more than its range. The bounds are at most RANGES numbers on the driver; what is
+    broadcast is one row for each range. The range is a function of score and bounds alone, so both uses of it agree.
     """
-    number = F.width_bucket("score", F.lit(0.0), F.lit(1.0), F.lit(RANGES))
-    dealt = histogram.withColumn("range", -number)
+    dealt = score_ranges(histogram)
     above = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         dealt.groupBy("range")

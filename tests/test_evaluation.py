@@ -271,3 +271,15 @@ def test_scorecard_defaults(spark):
     assert found[0] == pytest.approx(expected) and found[1] == -3.25
     missing = df.withColumn("humidity_percent", F.lit(None).cast("double"))
     assert missing.select(scales.scorecard()).first()[0] is None
+
+
+def test_crowded_scores_spread_over_the_ranges(spark):
+    """Nine tenths of the scores lie below 0.002: no range has more than four times the mean."""
+    draw = F.rand(5)
+    table = spark.range(60_000).select(F.when(F.col("id") % 10 > 0, draw * draw * 0.002).otherwise(draw).alias("score"))
+    histogram = table.groupBy("score").agg(F.sum(F.lit(1)).alias("pos"), F.sum(F.lit(0)).alias("neg")).cache()
+    sizes = [r["count"] for r in ev.score_ranges(histogram).groupBy("range").count().collect()]
+    assert len(sizes) > ev.RANGES / 2 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    order = ev.score_ranges(histogram).groupBy("range").agg(F.min("score").alias("a"), F.max("score").alias("b")).orderBy("range")
+    rows = order.collect()
+    assert all(high.a > low.b for high, low in zip(rows, rows[1:]))
