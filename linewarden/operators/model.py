@@ -24,6 +24,10 @@ from linewarden.sources.tables import coerce_numeric
 
 SEED = 42
 TEST_SHARE = 0.25
+#: Bits of a key's digest that order the rows of a class, and how many of them one histogram tells apart.
+DIGEST_BITS, STEP_BITS = 60, 12
+#: Labelled rows that a model is fitted on at most, about.
+TRAINING_ROWS = 100_000
 WEIGHT = "class_weight"
 # Model names and their hyper-parameters.
 FOREST, LOGISTIC, BOOSTING = "Random Forest", "Logistic Regression", "Gradient Boosting"
@@ -47,6 +51,90 @@ def with_split(df: DataFrame, key: str = "part_id") -> DataFrame:
     return df.withColumn("is_test", is_test(F.col(key)))
 
 
+def split_digest(key: Column, seed: int = SEED) -> Column:
+    """60 bits of the key's digest as a number."""
+    digest = F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, DIGEST_BITS // 4), 16, 10).cast("long")
+
+
+def stratified_cuts(
+    df: DataFrame, key: str = "part_id", label: str = TARGET, share: float = TEST_SHARE, seed: int = SEED, few: int = 1_000
+) -> dict[int | None, int]:
+    """For each class the digest up to which its rows are tested: that of its k-th smallest, k = round(share * rows).
+
+    No table is sorted. A histogram of the digests' leading bits finds the cell that holds the k-th smallest of each
+    class, the next one looks into those cells alone, and so on until at most `few` rows a class are left, whose
+    digests are collected. A class of which no row is tested has the cut -1. Classes are few: one row of a histogram
+    a class and cell is collected, 2^STEP_BITS cells at most each.
+    """
+    digests = df.select(F.col(label).alias("label"), split_digest(F.col(key), seed).alias("digest"))
+    sizes = {r.label: r["count"] for r in digests.groupBy("label").count().collect()}
+    # Halves go to the even number, as Python rounds.
+    wanted = {c: round(share * n) for c, n in sizes.items()}
+    cuts = {c: -1 for c, k in wanted.items() if k == 0}
+    cells = {c: (0, n) for c, n in sizes.items() if c not in cuts}
+    left = {c: wanted[c] for c in cells}
+    shift = DIGEST_BITS
+
+    def inside() -> DataFrame:
+        """Digests in the cell of their class."""
+        own = [F.col("label").eqNullSafe(c) & (F.shiftright("digest", shift) == cell) for c, (cell, _) in cells.items()]
+        return digests.where(any_true(own))
+
+    while shift and any(n > few for _, n in cells.values()):
+        narrow = inside()
+        shift = max(0, shift - STEP_BITS)
+        counts: dict[int | None, dict[int, int]] = {}
+        for r in narrow.groupBy("label", F.shiftright("digest", shift).alias("cell")).count().collect():
+            counts.setdefault(r.label, {})[r.cell] = r["count"]
+        for c, found in counts.items():
+            for cell in sorted(found):
+                if left[c] <= found[cell]:
+                    cells[c] = (cell, found[cell])
+                    break
+                left[c] -= found[cell]
+    if cells:
+        last: dict[int | None, list[tuple[int, int]]] = {}
+        for r in inside().groupBy("label", "digest").count().collect():
+            last.setdefault(r.label, []).append((r.digest, r["count"]))
+        for c, found in last.items():
+            for digest, n in sorted(found):
+                left[c] -= n
+                if left[c] <= 0:
+                    cuts[c] = digest
+                    break
+    return cuts
+
+
+def with_stratified_split(
+    df: DataFrame, key: str = "part_id", label: str = TARGET, share: float = TEST_SHARE, seed: int = SEED
+) -> DataFrame:
+    """`df` with `is_test`, true for round(share * rows) rows of each class, those with the smallest digests of their key.
+
+    A null label is a class of its own. Rows that share a key go to one side, so a class whose last tested key repeats
+    has some rows more. The flag is a comparison with one literal a class: no exchange, the same on every run.
+    """
+    digest, tested = split_digest(F.col(key), seed), F.lit(False)
+    for c, cut in stratified_cuts(df, key, label, share, seed).items():
+        tested = F.when(F.col(label).eqNullSafe(c), digest <= cut).otherwise(tested)
+    return df.withColumn("is_test", tested)
+
+
+def stratified_split_profile(df: DataFrame) -> DataFrame:
+    """Rows per class and side of the stratified split, with the keys at the sides' ends by digest."""
+    digest = split_digest(F.col("part_id"))
+    return (
+        with_stratified_split(df)
+        .groupBy(TARGET, "is_test")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.min_by("part_id", digest).alias("first_part"),
+            F.max_by("part_id", digest).alias("last_part"),
+        )
+        .orderBy(TARGET, "is_test")
+    )
+
+
 def split_profile(df: DataFrame) -> DataFrame:
     """Rows per class and side of the split."""
     return (
@@ -168,10 +256,10 @@ def candidate_pipelines(rows: int, forest: dict | None = None, boosting: dict |
     }
 
 
-def training_rows(df: DataFrame) -> DataFrame:
-    """Complete, labelled rows of the training side."""
+def training_rows(df: DataFrame, kept: Column | None = None) -> DataFrame:
+    """Complete, labelled rows of the training side, those with `kept` where it is given."""
     labelled = coerce_numeric(df).filter(F.col(TARGET).isin(0, 1) & ~is_test(F.col("part_id")))
-    return complete(labelled.select(*FEATURES, TARGET))
+    return complete((labelled if kept is None else labelled.filter(kept)).select(*FEATURES, TARGET))
 
 
 def test_rows(df: DataFrame) -> DataFrame:
@@ -188,18 +276,25 @@ def fit(
     pipelines=None,
     names: Sequence[str] = (FOREST,),
     checkpoints: str | None = None,
+    tasks: int | None = None,
+    rows: int = TRAINING_ROWS,
 ) -> dict[str, PipelineModel]:
     """Fit the named models on the training side of `df`.
 
+    About `rows` labelled rows at most are used, chosen by a digest of their key; scoring has no bound. They are dealt
+    over `tasks` partitions, as many as the cluster has cores where none are given, however the input is stored.
+
     `pipelines(rows)` gives the candidates. The training rows are read once and kept, since
     every model passes over them many times. `checkpoints` is a folder that all executors share.
     """
     prepare_checkpoints(df.sparkSession, checkpoints)
-    train = training_rows(df).persist()
+    spark, known = df.sparkSession, training_rows(df).count()
+    kept = None if known <= rows else split_digest(F.col("part_id"), SEED + 1) % known < rows
+    train = training_rows(df, kept).repartition(tasks or spark.sparkContext.defaultParallelism).persist()
     try:
-        rows, weights = balanced_weights(train)
+        count, weights = balanced_weights(train)
         weighted = with_class_weights(train, weights)
-        candidates = (pipelines or candidate_pipelines)(rows)
+        candidates = (pipelines or candidate_pipelines)(count)
         return {name: candidates[name].fit(weighted) for name in names}
     finally:
         train.unpersist()

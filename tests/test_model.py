@@ -32,6 +32,36 @@ def test_split_is_stable_and_stratified(table):
         assert 0.22 < share < 0.28
 
 
+@pytest.mark.parametrize("few", [0, 7, 1_000])
+def test_stratified_shares_are_exact(table, few, monkeypatch):
+    """The k smallest digests of each class, k a quarter of its rows, whatever the partitioning; also with few cells."""
+    monkeypatch.setattr(model, "STEP_BITS", 6)
+    ranked = {}
+    for r in table.select("scrap", "part_id", model.split_digest(F.col("part_id")).alias("d")).collect():
+        ranked.setdefault(r.scrap, []).append((r.d, r.part_id))
+    cuts = model.stratified_cuts(table.repartition(7), few=few)
+    assert cuts == {c: sorted(rows)[round(0.25 * len(rows)) - 1][0] for c, rows in ranked.items()}
+
+
+def test_stratified_split_of_odd_tables(spark):
+    rows = [(f"P{i}", i % 3 if i % 5 else None) for i in range(200)] + [("X", 9), (None, 7), (None, 7), (None, 7), (None, 7)]
+    df = spark.createDataFrame(rows, "part_id string, scrap int")
+    found = {}
+    for r in model.with_stratified_split(df).collect():
+        found.setdefault(r.scrap, []).append(r.is_test)
+    for label, flags in found.items():
+        assert sum(flags) == round(0.25 * len(flags)) or label == 7
+    # Rows of one key stay together.
+    assert found[9] == [False] and len(set(found[7])) == 1
+    assert model.with_stratified_split(df.where("false")).collect() == []
+
+
+def test_training_rows_are_bounded_and_dealt(table):
+    few = model.fit(table, QUICK, (model.FOREST,), tasks=3, rows=800)[model.FOREST]
+    scored = model.score(model.test_rows(table), few, decimals=None)
+    assert evaluation.ranking_metrics(evaluation.score_histogram(scored)).first().roc_auc > 0.55
+
+
 def test_comparison(table, models):
     rows = model.model_comparison(table, models).collect()
     assert {r.model for r in rows} == set(models)

@@ -876,6 +876,12 @@ ORACLE: dict[str, str] = {
     "split_profile": f"""WITH {P} SELECT scrap, is_test, count(*) AS row_count FROM
       (SELECT scrap, CAST('0x' || substr(md5(part_id || '|42'), 1, 8) AS BIGINT) % 10000 < 2500
         AS is_test FROM p) GROUP BY 1, 2""",
+    "stratified_split_profile": f"""WITH {P}, d AS (SELECT scrap, part_id,
+      CAST('0x' || substr(md5(part_id || '|42'), 1, 15) AS BIGINT) AS digest FROM p),
+      n AS (SELECT *, row_number() OVER (PARTITION BY scrap ORDER BY digest) AS place,
+        count(*) OVER (PARTITION BY scrap) AS total FROM d)
+      SELECT scrap, place <= round_even(0.25 * total, 0) AS is_test, count(*) AS row_count,
+        arg_min(part_id, digest) AS first_part, arg_max(part_id, digest) AS last_part FROM n GROUP BY 1, 2""",
 }
 
 ORACLE["workflow_overview"] = f"""WITH {CASE}, {RAW.replace(P, '').lstrip(',')}, {REPORT},

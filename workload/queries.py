@@ -679,6 +679,11 @@ def split_profile(spark, d):
     return model.split_profile(views.plain(spark, d))
 
 
+@query
+def stratified_split_profile(spark, d):
+    return model.stratified_split_profile(views.plain(spark, d))
+
+
 @query
 def training_profile(spark, d):
     profile = model.training_profile(views.plain(spark, d))
