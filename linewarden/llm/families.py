@@ -51,9 +51,10 @@ def family(language: str) -> str:
 
 
 def has_letter(text: bytes) -> bool:
+    """Whether a character is a letter to Unicode (L), as the learned texts are chosen; numerals like \u2167 are none."""
     if re.search(rb"[A-Za-z]", text):
         return True
-    return not text.isascii() and re.search(r"[^\W\d_]", text.decode("utf-8", "replace")) is not None
+    return not text.isascii() and any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
 def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -159,3 +159,18 @@ def test_folds(spark):
 
     ids = spark.range(200).select("id", in_fold(F.col("id"), 4, 2).alias("held")).collect()
     assert all(r.held == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in ids)
+
+
+@pytest.mark.parametrize("text, letter", [("½ ²", False), ("①②", False), ("Ⅷ", False), ("٣", False), ("_1", False), ("²é", True), ("日", True), ("ª", True)])
+def test_letters(spark, text, letter):
+    """What Spark chooses to learn from and what gets a language are the same."""
+    assert families.has_letter(text.encode()) == letter
+    assert spark.createDataFrame([(text,)], "t string").where(F.col("t").rlike(r"\p{L}")).count() == letter
+
+
+def test_stages_keep_columns_with_their_own_names(spark, odd, folder):
+    named = odd.withColumns({c: F.lit("own") for c in ("toxicity", "toxicity_", "lines_removed", "_benchmark_hits")})
+    for name, stage in corpus_pipeline.STAGES[:2] + corpus_pipeline.STAGES[3:4]:
+        found = stage(spark, named, folder)
+        assert found.columns == named.columns, name
+        assert {tuple(r) for r in found.select("toxicity", "toxicity_", "lines_removed", "_benchmark_hits").collect()} == {("own",) * 4}
