@@ -26,8 +26,8 @@ SEED = 42
 TEST_SHARE = 0.25
 #: Bits of a key's digest that order the rows of a class, and how many of them one histogram tells apart.
 DIGEST_BITS, STEP_BITS = 60, 12
-#: Labelled rows that a model is fitted on at most, about.
-TRAINING_ROWS = 100_000
+#: Labelled rows that a model is fitted on at most, about, and the partitions that they are dealt over.
+TRAINING_ROWS, TRAINING_TASKS = 30_000, 2
 WEIGHT = "class_weight"
 # Model names and their hyper-parameters.
 FOREST, LOGISTIC, BOOSTING = "Random Forest", "Logistic Regression", "Gradient Boosting"
@@ -276,21 +276,22 @@ def fit(
     pipelines=None,
     names: Sequence[str] = (FOREST,),
     checkpoints: str | None = None,
-    tasks: int | None = None,
+    tasks: int = TRAINING_TASKS,
     rows: int = TRAINING_ROWS,
 ) -> dict[str, PipelineModel]:
     """Fit the named models on the training side of `df`.
 
     About `rows` labelled rows at most are used, chosen by a digest of their key; scoring has no bound. They are dealt
-    over `tasks` partitions, as many as the cluster has cores where none are given, however the input is stored.
+    over `tasks` partitions, however the input is stored: every one sends statistics of all trees' nodes each level, so
+    few rows want few.
 
     `pipelines(rows)` gives the candidates. The training rows are read once and kept, since
     every model passes over them many times. `checkpoints` is a folder that all executors share.
     """
     prepare_checkpoints(df.sparkSession, checkpoints)
-    spark, known = df.sparkSession, training_rows(df).count()
+    known = training_rows(df).count()
     kept = None if known <= rows else split_digest(F.col("part_id"), SEED + 1) % known < rows
-    train = training_rows(df, kept).repartition(tasks or spark.sparkContext.defaultParallelism).persist()
+    train = training_rows(df, kept).repartition(tasks).persist()
     try:
         count, weights = balanced_weights(train)
         weighted = with_class_weights(train, weights)
