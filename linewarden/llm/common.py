@@ -73,14 +73,19 @@ def as_bytes(texts: pa.Array) -> list[bytes]:
 
 def steps(texts: Sequence[bytes], most: int = STEP_CHARS) -> Iterator[tuple[int, int]]:
     """Slices of a batch that hold at most so many bytes, or one text."""
+    return steps_of(list(map(len, texts)), most)
+
+
+def steps_of(sizes: Sequence[int], most: int = STEP_CHARS) -> Iterator[tuple[int, int]]:
+    """Slices of items of these sizes that hold at most so much, or one item."""
     start = held = 0
-    for at, text in enumerate(texts):
-        if at > start and held + len(text) > most:
+    for at, size in enumerate(sizes):
+        if at > start and held + size > most:
             yield start, at
             start, held = at, 0
-        held += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def words_of(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray]:
@@ -104,7 +109,7 @@ class WordTable(dict):
     A task's table is emptied once it holds `limit` words, so its memory is bounded.
     """
 
-    def __init__(self, measure: Callable[[bytes], Sequence[float]], limit: int = 300_000):
+    def __init__(self, measure: Callable[[bytes], Sequence[float]], limit: int = 150_000):
         super().__init__()
         self.measure, self.limit = measure, limit
         self.fresh: list[Sequence[float]] = []
