@@ -51,18 +51,43 @@ def _refuse(values: DataFrame, problem: str, shown: int = 10) -> None:
         raise DataQualityError(f"{problem} ({values.count()}): {', '.join(first)}")
 
 
-def unique_by_key(df: DataFrame, label: str) -> DataFrame:
-    """The table itself; reading it fails where two rows share a key.
+#: Spreads rows without a key over the tasks of an exchange by key.
+SPREAD = "_keyless_part"
 
-    Copies are counted within the exchange that a join on the key needs anyway. Null keys never join and may repeat.
-    """
+
+def _once(df: DataFrame, label: str, *keys: str) -> DataFrame:
     copies = "_copies_of_key"
-    counted = df.withColumn(copies, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
+    counted = df.withColumn(copies, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     single = F.col(KEY).isNull() | (F.col(copies) == 1)
     message = F.concat(F.lit(f"{label} repeats {KEY} "), KEY)
     return counted.filter(F.assert_true(single, message).isNull()).drop(copies)
 
 
+def unique_by_key(df: DataFrame, label: str) -> DataFrame:
+    """The rows that have a key; reading them fails where two share one.
+
+    Copies are counted within the exchange that a join on the key needs anyway, in groups of one row unless the read
+    fails. Rows without a key can't join, so they are gone before that exchange.
+    """
+    return _once(df.where(F.col(KEY).isNotNull()), label, KEY)
+
+
+def with_matches(rows: DataFrame, label: str, others: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """All rows, each with the match of its key in every other table; reading fails where a table repeats a key.
+
+    Rows without a key match nothing, may be any number and stay: they are exchanged by the number of their input
+    partition, so a task gets what one input task held of them. The counts and all joins share one exchange of `rows`.
+    """
+    keys = [KEY, SPREAD]
+    placed = rows.withColumn(SPREAD, F.when(F.col(KEY).isNull(), F.spark_partition_id()).otherwise(0))
+    joined = _once(placed, label, *keys)
+    for other, name in others:
+        # Always 0, but not a constant to the optimizer, which would take it out of the join's keys.
+        known = other.where(F.col(KEY).isNotNull()).withColumn(SPREAD, F.pmod(F.hash(KEY), F.lit(1)))
+        joined = joined.join(_once(known, name, *keys), keys, "left")
+    return joined.drop(SPREAD)
+
+
 def outcome_label(feedback: DataFrame) -> Column:
     """0 or 1; reading any other outcome fails."""
     value = as_double(feedback, "actual_scrap")

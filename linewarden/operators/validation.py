@@ -437,6 +437,29 @@ def quality_rows(df: DataFrame) -> DataFrame:
     )
 
 
+# --- gates --------------------------------------------------------------------------------
+
+
+def unreadable_counters(df: DataFrame, columns) -> dict[str, Column]:
+    """Unreadable numbers of each column, as aggregates over the table itself."""
+    return {f"invalid_{c}": _count(_bad_number(df, c)) for c in columns}
+
+
+def blocking_counters(df: DataFrame) -> dict[str, Column]:
+    """What the failing statuses of the quality report depend on, as aggregates over the table itself."""
+    missing = {f"missing_{c}": _count(is_missing(df, c)) for c in cfg.PRODUCTION_COLUMNS}
+    return {**missing, **unreadable_counters(df, cfg.NUMERIC), "invalid_target": _count(_bad_target(df))}
+
+
+def blocking_findings() -> tuple[tuple[str, Column], ...]:
+    """Texts of the failing checks of the quality report and when they apply, over `row_count` and these counters."""
+    return (
+        *[(f"missing_values ({c})", _missing_status(c) == FAIL) for c in cfg.PRODUCTION_COLUMNS],
+        *[(f"numeric_type_validation ({c})", F.col(f"invalid_{c}") > 0) for c in cfg.NUMERIC],
+        (f"target_validation ({cfg.TARGET})", F.col("invalid_target") > 0),
+    )
+
+
 def require_quality(df: DataFrame) -> DataFrame:
     """The table itself, unless a check fails."""
     failed = quality_report(df).filter(F.col("status") == FAIL).collect()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linewarden.config import production as shape
 from linewarden.config import risk as cfg
 from linewarden.operators.compliance import CRITICAL, with_compliance
-from linewarden.operators.feedback import outcome_label, unique_by_key, with_feedback_class
+from linewarden.operators.feedback import outcome_label, with_feedback_class, with_matches
 from linewarden.plans.batch_review import batch_review, with_decision
 
 # Columns each stage contributes to a trace.
@@ -37,11 +37,8 @@ def trace_table(review: DataFrame, spec: DataFrame, feedback: DataFrame) -> Data
 
     A repeated key in any of them fails the read. All joins use the same key.
     """
-    return (
-        unique_by_key(review, "Review results")
-        .join(unique_by_key(_keep(spec, SPEC_PART), "Limit results"), "part_id", "left")
-        .join(unique_by_key(_keep(feedback, FEEDBACK_PART), "Feedback cases"), "part_id", "left")
-    )
+    others = [(_keep(spec, SPEC_PART), "Limit results"), (_keep(feedback, FEEDBACK_PART), "Feedback cases")]
+    return with_matches(review, "Review results", others)
 
 
 def _with_feedback(rows: DataFrame, feedback: DataFrame) -> DataFrame:
@@ -50,7 +47,7 @@ def _with_feedback(rows: DataFrame, feedback: DataFrame) -> DataFrame:
     key = F.col("part_id").cast("string").alias("part_id")
     labelled = feedback.select(key, outcome_label(feedback).alias("actual_scrap"), *notes)
     known = rows.drop("actual_scrap", *notes)
-    joined = unique_by_key(known, "Batch").join(unique_by_key(labelled, "Feedback"), "part_id", "left")
+    joined = with_matches(known, "Batch", [(labelled, "Feedback")])
     classes = {c: F.col(c) for c in FEEDBACK_PART if c.startswith("feedback_")}
     judged = with_feedback_class(joined)
     return judged.withColumns({c: F.when(F.col("actual_scrap").isNotNull(), v) for c, v in classes.items()})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,3 +90,32 @@ def write_summary(summary: DataFrame, path: str) -> None:
     """A small summary as JSON lines, one document per row."""
     document: Column = F.to_json(F.struct(*summary.columns), {"ignoreNullFields": "false"})
     summary.select(document.alias("value")).write.mode("overwrite").text(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a stored table; nothing happens where none is."""
+    where, files = _hadoop(spark, path)
+    files.delete(where, True)
+
+
+def move_table(spark: SparkSession, source: str, target: str) -> None:
+    """Put a stored table in the place of another on the same file system.
+
+    The old one goes first. Where a file system renames in one step, so does this; object stores copy.
+    """
+    where, files = _hadoop(spark, source)
+    goal, _ = _hadoop(spark, target)
+    files.delete(goal, True)
+    if not files.rename(where, goal):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster shares: spark.checkpoint.dir, or the warehouse where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/stored"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"

@@ -767,6 +767,21 @@ ORACLE: dict[str, str] = {
     "feedback_cases": f"""WITH {CASE} SELECT part_id, scrap_probability, review_decision,
       actual_scrap, engineer_review_outcome, feedback_classification, feedback_priority,
       feedback_interpretation FROM cases""",
+    "feedback_job": f"""WITH {CASE} SELECT 'class' AS section, feedback_classification AS name, count(*) AS row_count
+        FROM cases GROUP BY ALL
+      UNION ALL SELECT 'missed_at', format('{{:.1f}}', cut), (SELECT count(*) FROM cases
+        WHERE scrap_probability < cut AND actual_scrap = 1)
+        FROM (SELECT CAST(unnest([0.3, 0.4, 0.5, 0.6]) AS DOUBLE) AS cut)
+      UNION ALL SELECT 'coverage', 'review_rows', (SELECT count(*) FROM p)
+      UNION ALL SELECT 'coverage', 'feedback_rows', (SELECT count(*) FROM feedback)
+      UNION ALL SELECT 'coverage', 'matched_rows', (SELECT count(*) FROM p JOIN feedback USING (part_id))
+      UNION ALL SELECT 'coverage', 'missing_feedback_rows', (SELECT count(DISTINCT part_id) FROM p
+        WHERE part_id NOT IN (SELECT part_id FROM feedback))
+      UNION ALL SELECT 'coverage', 'extra_feedback_rows', (SELECT count(DISTINCT part_id) FROM feedback
+        WHERE part_id NOT IN (SELECT part_id FROM p))""",
+    "stored_predictions": f"WITH {RESULTS} SELECT {_EXPORT_OUT} FROM results",
+    "stored_compliance": f"""WITH {CHECKED} SELECT part_id, spec_compliance_status, violation_count,
+      violated_requirement_ids FROM checked""",
     "feedback_class_counts": f"WITH {CASE} {_count_by('cases', 'feedback_classification')}",
     "feedback_coverage": f"""WITH {P}, {FEEDBACK} SELECT
       (SELECT count(*) FROM p) AS review_rows, (SELECT count(*) FROM feedback) AS feedback_rows,
@@ -884,6 +899,7 @@ ORACLE: dict[str, str] = {
         arg_min(part_id, digest) AS first_part, arg_max(part_id, digest) AS last_part FROM n GROUP BY 1, 2""",
 }
 
+ORACLE["stored_summary"] = ORACLE["review_effectiveness"]
 ORACLE["workflow_overview"] = f"""WITH {CASE}, {RAW.replace(P, '').lstrip(',')}, {REPORT},
   {_checked('p')},
   q AS (SELECT {OVERALL} AS status, count(*) FILTER (status = 'WARNING') AS warnings,

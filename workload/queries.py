@@ -22,9 +22,16 @@ from linewarden.functions.text import (
 from linewarden.plans import batch_review as review_plan
 from linewarden.plans import case_trace as trace_plan
 from linewarden.plans import feedback_loop as loop_plan
-from linewarden.plans import overview, spec_compliance as spec_plan
+from linewarden.plans import gated, overview, spec_compliance as spec_plan
 from linewarden.session import configure
-from linewarden.sources.tables import coerce_numeric, project_existing
+from linewarden.sources.tables import (
+    coerce_numeric,
+    project_existing,
+    read_parquet,
+    shared_path,
+    write_rows,
+    write_summary,
+)
 from workload import views
 from workload.views import EXPORT_THRESHOLD, THRESHOLD
 
@@ -530,6 +537,53 @@ def feedback_cases(spark, d):
     )
 
 
+@query
+def feedback_job(spark, d):
+    """The gated feedback job as a whole: its classes, its coverage and its scenarios, one name and count a row."""
+    job = loop_plan.evaluate_feedback(reviewed(spark, d), views.feedback(spark, d))
+    coverage = job.coverage.select(
+        F.inline(F.array(*[
+            F.struct(F.lit("coverage").alias("section"), F.lit(c).alias("name"), F.col(c).alias("row_count"))
+            for c in job.coverage.columns
+        ]))
+    )
+    classes = job.class_counts.select(
+        F.lit("class").alias("section"), F.col("feedback_classification").alias("name"), "row_count"
+    )
+    scenarios = job.scenarios.select(
+        F.lit("missed_at").alias("section"), F.format_number("threshold", 1).alias("name"),
+        F.col("missed_issues").alias("row_count"),
+    )
+    return coverage.unionByName(classes).unionByName(scenarios)
+
+
+@query
+def stored_predictions(spark, d):
+    """The exported predictions, written and read again."""
+    path = shared_path(spark, "predictions")
+    write_rows(results(spark, d), path)
+    return read_parquet(spark, path, "Predictions")
+
+
+@query
+def stored_compliance(spark, d):
+    """The limit check with its gate measured in the pass that writes it, read again."""
+    path = shared_path(spark, "compliance")
+    gated.write_compliance(views.plain(spark, d), path)
+    return read_parquet(spark, path, "Limit results").select(
+        "part_id", "spec_compliance_status", "violation_count", "violated_requirement_ids"
+    )
+
+
+@query
+def stored_summary(spark, d):
+    """The review effectiveness as a stored document, read again."""
+    path = shared_path(spark, "effectiveness")
+    found = feedback.review_effectiveness(cases(spark, d))
+    write_summary(found, path)
+    return spark.read.schema(found.schema).json(path)
+
+
 @query
 def feedback_class_counts(spark, d):
     return summary.value_counts(cases(spark, d), "feedback_classification")
