@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Characters of text that one step over a batch handles at a time.
 STEP_CHARS = 2_000_000
+#: The same where a step builds rows of numbers for every word, so that a worker stays small.
+LEAN_STEP = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

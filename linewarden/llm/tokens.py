@@ -14,7 +14,7 @@ SPACES = bytes([32, 9, 10, 11, 12, 13])
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: A longer text is hashed in parts of about so many bytes, cut between words.
-PART = 1_000_000
+PART = 250_000
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linewarden.llm.common import WordTable, as_bytes, in_fold, labelled_sample, slices, steps, sums, words_of
+from linewarden.llm.common import LEAN_STEP, WordTable, as_bytes, in_fold, labelled_sample, slices, steps, sums, words_of
 
 #: Labelled rows that a model is fitted on at most, about.
 SAMPLE_ROWS = 12_000
@@ -150,7 +150,7 @@ def features(stems: frozenset[str]) -> Callable[[Column], Column]:
         width = len(FEATURES)
         for batch in slices(batches):
             texts = as_bytes(batch)
-            parts = [text_features(texts[a:b], words) for a, b in steps(texts)] or [np.zeros((0, width))]
+            parts = [text_features(texts[a:b], words) for a, b in steps(texts, LEAN_STEP)] or [np.zeros((0, width))]
             flat = np.concatenate(parts).ravel()
             yield pa.ListArray.from_arrays(np.arange(0, flat.size + 1, width, dtype=np.int32), pa.array(flat))
 
