@@ -7,6 +7,7 @@ per key on the map side first, so a key repeated in a third of the rows stays ch
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -339,21 +340,9 @@ def quality_report(df: DataFrame) -> DataFrame:
     return quality_rows(df).drop("scrap_rate")
 
 
-def quality_rows(df: DataFrame) -> DataFrame:
-    """The quality report with the scrap rate of the same profile beside each check.
-
-    The profile row takes the duplicate count in as a scalar subquery; all statuses are
-    then expressions over that one row.
-    """
-    missing = [c for c in cfg.PRODUCTION_COLUMNS if c not in df.columns]
-    unexpected = [c for c in df.columns if c not in cfg.PRODUCTION_COLUMNS]
-    required = _present(df, cfg.PRODUCTION_COLUMNS)
-    numeric = _present(df, cfg.NUMERIC)
-    categories = _present(df, cfg.EXPECTED_CATEGORIES)
-    ranged = _present(df, cfg.MONITORING_RANGES)
-    has_target, has_key = cfg.TARGET in df.columns, cfg.KEY in df.columns
-
-    wide = profile(
+def quality_counters(df: DataFrame) -> DataFrame:
+    """One row: the row count and every counter that the quality report depends on but the repeated keys."""
+    return profile(
         df,
         missing_counters(df),
         number_counters(df),
@@ -361,9 +350,34 @@ def quality_rows(df: DataFrame) -> DataFrame:
         category_counters(df),
         range_counters(df),
     )
-    if has_key:
-        repeated = duplicate_keys(df).agg(F.coalesce(F.sum("row_count"), F.lit(0).cast("long")))
-        wide = wide.select("*", repeated.scalar().alias("duplicates"))
+
+
+def quality_rows(df: DataFrame) -> DataFrame:
+    """The quality report with the scrap rate of the same profile beside each check.
+
+    The profile row takes the duplicate count in as a scalar subquery; all statuses are
+    then expressions over that one row.
+    """
+    wide = quality_counters(df)
+    if cfg.KEY in df.columns:
+        wide = wide.select("*", repeated_rows(duplicate_keys(df)).scalar().alias("duplicates"))
+    return status_rows(wide, df.columns)
+
+
+def repeated_rows(repeated: DataFrame) -> DataFrame:
+    """One row: how many rows hold these repeated keys."""
+    return repeated.agg(F.coalesce(F.sum("row_count"), F.lit(0).cast("long")).alias("duplicates"))
+
+
+def status_rows(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The quality report of a table with these columns from the one row of its counters."""
+    missing = [c for c in cfg.PRODUCTION_COLUMNS if c not in columns]
+    unexpected = [c for c in columns if c not in cfg.PRODUCTION_COLUMNS]
+    required, numeric, categories, ranged = (
+        [c for c in names if c in columns]
+        for names in (cfg.PRODUCTION_COLUMNS, cfg.NUMERIC, cfg.EXPECTED_CATEGORIES, cfg.MONITORING_RANGES)
+    )
+    has_target, has_key = cfg.TARGET in columns, cfg.KEY in columns
 
     missing_flags = [(c, F.col(f"missing_{c}") > 0) for c in required]
     number_flags = [(c, F.col(f"invalid_{c}") > 0) for c in numeric]
@@ -406,12 +420,11 @@ def quality_rows(df: DataFrame) -> DataFrame:
         ("engineering_plausibility", raised(range_flags, WARNING), _named_where(range_flags)),
     ]
     if has_key:
-        repeated_rows = F.col("duplicates") > 0
         checks.append(
             (
                 "duplicate_part_id",
                 _flag_status(F.col("duplicates"), WARNING),
-                _named_where([(cfg.KEY, repeated_rows)]),
+                _named_where([(cfg.KEY, F.col("duplicates") > 0)]),
             )
         )
     rate = rounded(_scrap_rate(), 4) if has_target else F.lit(None).cast("double")
