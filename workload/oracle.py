@@ -697,6 +697,8 @@ ORACLE: dict[str, str] = {
       FROM repeated""",
     "dq_report": f"""WITH {RAW}, {REPORT} SELECT *, (SELECT count(*) FROM raw) AS row_count,
       {OVERALL} AS overall_status FROM report""",
+    "running_quality": f"""WITH {RAW}, {REPORT} SELECT *, (SELECT count(*) FROM raw) AS row_count,
+      {OVERALL} AS overall_status FROM report""",
     "scoring_warnings": f"""WITH {RAW}
       SELECT column_name, column_name || ' has unexpected category: ' || value AS warning,
         row_count FROM ({STRANGE})

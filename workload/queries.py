@@ -22,7 +22,7 @@ from linewarden.functions.text import (
 from linewarden.plans import batch_review as review_plan
 from linewarden.plans import case_trace as trace_plan
 from linewarden.plans import feedback_loop as loop_plan
-from linewarden.plans import gated, overview, spec_compliance as spec_plan
+from linewarden.plans import gated, overview, running_quality as running, spec_compliance as spec_plan
 from linewarden.session import configure
 from linewarden.sources.tables import (
     coerce_numeric,
@@ -431,6 +431,16 @@ def dq_report(spark, d):
     return quality.quality_report(views.raw(spark, d))
 
 
+@query
+def running_quality(spark, d):
+    """The quality report from the stored states of four batches, dealt by the digest of key and temperature."""
+    raw, folder = views.raw(spark, d), shared_path(spark, "quality")
+    for number in range(4):
+        mine = F.pmod(F.xxhash64("part_id", "temperature_c"), F.lit(4)) == number
+        running.add_batch(raw.where(mine), folder, f"part {number}")
+    return running.running_report(spark, folder)
+
+
 @query
 def scoring_warnings(spark, d):
     return quality.scoring_warnings(views.raw(spark, d))
