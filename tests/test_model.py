@@ -1,6 +1,7 @@
 from functools import partial
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from linewarden.operators import evaluation, model
@@ -127,3 +128,14 @@ def test_comparison_reads_the_test_side_once(table, models):
     checks = {r.model: r for r in model.model_checks(table, models).collect()}
     assert set(checks) == set(models)
     assert all(r.tested_rows == r.cell_rows and r.outside == r.missing == 0 for r in checks.values())
+
+
+def test_models_work_once_the_session_has_observed_a_table(spark, table, models):
+    seen = Observation("rows")
+    table.limit(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    few = table.limit(20)
+    for fitted in models.values():
+        assert not getattr(fitted.stages[-1], "hasSummary", False)
+        assert fitted.transform(few).select("prediction").count() == model.score(few, fitted).count() == 20
+        fitted.transform(few).select("probability").collect()
