@@ -1,10 +1,11 @@
 from functools import partial
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from linewarden.operators import evaluation, model
+from linewarden.operators import evaluation, model, trees
 from workload import views
 
 FOLDER = "/root/testdata/sf0.001"
@@ -139,3 +140,26 @@ def test_models_work_once_the_session_has_observed_a_table(spark, table, models)
         assert not getattr(fitted.stages[-1], "hasSummary", False)
         assert fitted.transform(few).select("prediction").count() == model.score(few, fitted).count() == 20
         fitted.transform(few).select("probability").collect()
+
+
+def test_arrays_score_as_the_models_do(table, models):
+    """The same bits, also for unseen categories, missing readings and readings on a split."""
+    odd = table.limit(400)
+    odd = odd.unionByName(odd.withColumn("machine_id", F.lit("M77")).withColumn("shift", F.lit(None).cast("string")))
+    odd = odd.unionByName(odd.withColumn("temperature_c", F.lit(None).cast("double")))
+    odd = odd.withColumn("row", F.monotonically_increasing_id()).cache()
+    for name in (model.FOREST, model.BOOSTING):
+        fitted = models[name]
+        assert trees.read_trees(fitted.stages[-1]) is not None
+        found = trees.with_given(odd, fitted, "given").select("row", "given.*").orderBy("row").collect()
+        own = fitted.transform(odd).select("row", "prediction", vector_to_array("probability")[1]).orderBy("row").collect()
+        assert [r[:2] for r in found] == [r[:2] for r in own]
+        assert max(abs(a[2] - b[2]) for a, b in zip(found, own, strict=True)) < (1e-12 if name == model.BOOSTING else 1e-300)
+
+
+def test_one_walk_a_row(table, models):
+    """A filter on the score does not walk the trees again, and no tree is walked by MLlib."""
+    scored = model.score(table, models[model.FOREST]).filter("scrap_probability > 0.5").groupBy("scrap_probability").count()
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("walk(") == 1
+    compared = model.compared(table, models)._jdf.queryExecution().optimizedPlan().toString()
+    assert compared.count("walk(") == 2
