@@ -7,8 +7,7 @@ subsequence of words with the item and a look for its answer settle it, so that
 dropped words count too.
 
 The term table has a fixed number of hashed rows, so what is broadcast is bounded: rows x rank floats, and one block
-of benchmark windows at a time. Only the SVD is fitted on a bounded number of items; document frequencies and the
-search cover every document and every item.
+of benchmark windows at a time. Document frequencies, the SVD and the search cover every document and every item.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linewarden.llm.common import LEAN_STEP, as_bytes, bounded_share, slices, steps
+from linewarden.llm.common import LEAN_STEP, as_bytes, slices, steps
 from linewarden.llm.tokens import SPACES, WordHasher
 
 #: Hashed terms, rank of the latent space, and random directions beyond it.
@@ -35,8 +34,9 @@ WINDOW, STRIDE = 16, 8
 #: Window and stride of the search by an item's length: an item of WINDOW + STRIDE words or more has the first, a
 #: shorter one the first that it is long enough for, so that a window of any grid lies within a copy of it.
 LENGTHS = ((WINDOW, STRIDE), (8, 4), (4, 2), (2, 1))
-#: Benchmark items whose windows the SVD is fitted on at most, about.
+#: Benchmark items whose windows one task of the SVD's fit has, about; fewest and most tasks of it. Every item counts.
 SAMPLE_ITEMS = 2_000
+FIT_TASKS = 6, 64
 POWER_ROUNDS = 2
 #: Benchmark items that one block of the search holds at most, about.
 BLOCK_ITEMS = 5_000
@@ -102,8 +102,8 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
-def sample_windows(texts: DataFrame) -> DataFrame:
-    """(terms): the windows of a bounded sample of texts."""
+def item_windows(texts: DataFrame) -> DataFrame:
+    """(terms): the windows of the benchmark's texts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = hasher()
@@ -187,16 +187,17 @@ def latent_terms(docs: DataFrame, items: DataFrame) -> Latent:
 
     It is the term's IDF times its right singular vectors over the singular values, so that no direction, such as a
     language, outweighs the others; one more column holds its squared IDF.
-    Subspace iteration over the windows of about SAMPLE_ITEMS items; partial products are summed by Spark in slices
-    of terms; the driver holds two matrices of TERMS x (RANK + EXTRA) at most and factors small ones only.
+    Subspace iteration over the windows of all items, dealt over tasks that each stream theirs; partial products are
+    summed by Spark in slices of terms, one block a task and slice at most; the driver holds two matrices of TERMS x (RANK + EXTRA) at most and factors small ones only.
     """
     context, n = docs.sparkSession.sparkContext, docs.count()
     weights = np.zeros(TERMS + 1, np.float32)
     frequencies = document_frequencies(docs).toArrow()
     weights[:TERMS] = np.log(1 + n)
     weights[frequencies["term"].to_numpy()] = np.log((1 + n) / (1 + frequencies["docs"].to_numpy().astype(np.float64)))
-    texts = items.where(bounded_share(items.count(), SAMPLE_ITEMS, F.col("item_id"))).select("text")
-    passages = sample_windows(texts.repartition(6)).persist()
+    fewest, most = FIT_TASKS
+    tasks = min(most, max(fewest, -(-items.count() // SAMPLE_ITEMS)))
+    passages = item_windows(items.select("text").repartition(tasks)).persist()
     shared = context.broadcast(weights)
     basis = np.random.default_rng(SEED).standard_normal((TERMS + 1, RANK + EXTRA), np.float32)
     basis[TERMS] = 0

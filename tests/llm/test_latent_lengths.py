@@ -51,3 +51,19 @@ def test_the_middle_of_a_long_item(found, kind):
 @pytest.mark.parametrize("size", [3, 5, 6, 8, 10, 12, 14, 20])
 def test_short_items_in_long_texts(found, size):
     assert all(found[f"short {size}"])
+
+
+def test_the_basis_is_fitted_on_every_item(spark, monkeypatch):
+    """All windows of all items go into the SVD, however many items there are."""
+    monkeypatch.setattr(latent, "SAMPLE_ITEMS", 5)
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "some words of a text")], "doc_id long, text string")
+    seen, whole = [], latent._back_and_forth
+
+    def counted(passages, *rest):
+        seen.append(passages.count())
+        return whole(passages, *rest)
+
+    monkeypatch.setattr(latent, "_back_and_forth", counted)
+    latent.latent_terms(docs, items)
+    assert set(seen) == {60 * 3}
