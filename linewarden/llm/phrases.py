@@ -39,6 +39,8 @@ UNKNOWN = "und"
 SLOT_BITS, SHARD_BITS = 26, 8
 #: Slots that a task gathers before it sends their counts, and bytes of text of one step over windows.
 GATHERED, STEP_BYTES = 4_000_000, 3_000_000
+#: Windows that are spelled at a time; each character of theirs takes some numbers meanwhile.
+SPELLED = 50_000
 WINDOW = tuple(f"w{k}" for k in range(1, LONGEST + 1))
 
 
@@ -215,6 +217,22 @@ def spelled(spans: Spans, at: np.ndarray, reach: np.ndarray, codes: np.ndarray)
     return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), held]).cast(pa.string())
 
 
+def counted(grams: Grams, langs: Sequence[str], reach: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The distinct windows of a step, with the number of words that open them, SPELLED at a time."""
+    numbers = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
+    key = combined(np.zeros(len(reach), np.uint64), np.array([numbers[x] for x in langs], np.uint64)[grams.owners])
+    for length in range(1, LONGEST + 1):
+        there = reach >= length
+        key[there] = grams.of(length)[there]
+    _, at, times = np.unique(key, return_index=True, return_counts=True)
+    names = pa.array(langs, pa.string())
+    for start in range(0, len(at), SPELLED):
+        part = at[start : start + SPELLED]
+        lang = names.take(pa.array(grams.owners[part]))
+        window = spelled(grams.spans, part, reach[part], codes)
+        yield pa.RecordBatch.from_arrays([lang, window, pa.array(times[start : start + SPELLED], pa.int64())], ["lang", "window", "a"])
+
+
 def windows(texts: DataFrame, keep: Filter) -> DataFrame:
     """(lang, window, a): windows with the number of words that open them; padding, at a window's end, is left out.
 
@@ -227,16 +245,7 @@ def windows(texts: DataFrame, keep: Filter) -> DataFrame:
         for grams, langs in readings(batches):
             if not len(grams.hashes):
                 continue
-            reach = shared.value.reach(grams)
-            numbers = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
-            key = combined(np.zeros(len(reach), np.uint64), np.array([numbers[x] for x in langs], np.uint64)[grams.owners])
-            for length in range(1, LONGEST + 1):
-                there = reach >= length
-                key[there] = grams.of(length)[there]
-            _, at, times = np.unique(key, return_index=True, return_counts=True)
-            lang = pa.array(langs, pa.string()).take(pa.array(grams.owners[at]))
-            window = spelled(grams.spans, at, reach[at], codes)
-            yield pa.RecordBatch.from_arrays([lang, window, pa.array(times, pa.int64())], ["lang", "window", "a"])
+            yield from counted(grams, langs, shared.value.reach(grams), codes)
 
     return texts.mapInArrow(found, "lang string, window string, a long")
 

@@ -94,3 +94,15 @@ def test_query_equals_its_sql(spark):
     df = LLM_QUERIES["op13_rollup"](spark, DATA)
     assert df.columns == told.columns
     assert sorted(map(tuple, df.collect())) == sorted(told.fetchall())
+
+
+def test_few_windows_are_spelled_at_a_time(monkeypatch):
+    """No batch has more than SPELLED windows, and their rows are the same in any case."""
+    texts = [f"alpha beta gamma word{i} . alpha beta".encode() for i in range(300)]
+    grams = phrases.Reader()(texts, ["en"] * 300)
+    reach, codes = phrases.Filter(16, {}).reach(grams), phrases.WordHasher().codes
+    whole = list(phrases.counted(grams, ["en"] * 300, reach, codes))
+    monkeypatch.setattr(phrases, "SPELLED", 7)
+    few = list(phrases.counted(grams, ["en"] * 300, reach, codes))
+    assert len(whole) == 1 and len(few) > 1 and max(map(len, few)) == 7
+    assert [row for batch in few for row in batch.to_pylist()] == whole[0].to_pylist()
