@@ -6,7 +6,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from linewarden.operators import evaluation, model, trees
-from workload import views
+from workload import queries, views
 
 FOLDER = "/root/testdata/sf0.001"
 QUICK = partial(
@@ -64,6 +64,55 @@ def test_training_rows_are_bounded_and_dealt(table):
     assert evaluation.ranking_metrics(evaluation.score_histogram(scored)).first().roc_auc > 0.55
 
 
+def test_queries_fit_on_every_training_row(spark, monkeypatch):
+    """45,000 rows on the training side, all of which the models of each query are fitted on."""
+    folder, fitted_on = "/root/testdata/sf0.01", []
+
+    def quick(rows):
+        fitted_on.append(rows)
+        return QUICK(rows)
+
+    monkeypatch.setattr(model, "candidate_pipelines", quick)
+    known = model.training_rows(views.plain(spark, folder)).count()
+    assert known > 40_000
+    for names in (("model_evaluation", "scored_batch", "feature_importance"), ("best_model", "model_comparison")):
+        monkeypatch.setattr(queries, "_FITTED", {})
+        for name in names:
+            assert not queries.QUERIES[name](spark, folder).isEmpty()
+    assert fitted_on == [known, known]
+
+
+def test_tasks_follow_the_rows():
+    found = {n: model.training_tasks(n) for n in (1, 30_000, 45_000, 450_000, 4_000_000, 27_000_000)}
+    assert found == {1: 2, 30_000: 2, 45_000: 3, 450_000: 16, 4_000_000: 16, 27_000_000: 108}
+
+
+def test_forest_grown_in_lots(table, monkeypatch, tmp_path):
+    """A forest of three lots is one model: all trees, each lot its own, the mean of their shares, saved and loaded."""
+    monkeypatch.setattr(model, "BAGGED", 0)
+    monkeypatch.setattr(model, "TREES_AT_ONCE", 5)
+    forest = model.fit(table, QUICK, (model.FOREST,))[model.FOREST]
+    last = forest.stages[-1]
+    assert (last.getNumTrees, last.numClasses, last.numFeatures) == (12, 2, 18)
+    assert last.getLabelCol() == "scrap" and last.getOrDefault("maxDepth") == 4
+    assert len({tree.toDebugString.split("\n", 1)[1] for tree in last.trees}) == 12
+    few = table.limit(300).withColumn("row", F.monotonically_increasing_id()).cache()
+    ready = few
+    for stage in forest.stages[:-1]:
+        ready = stage.transform(ready)
+    rows = [r.features for r in ready.orderBy("row").select("features").collect()]
+    own = [r[0] for r in trees.with_given(few, forest, "given").orderBy("row").select("given.probability").collect()]
+    for features, p in list(zip(rows, own, strict=True))[:20]:
+        assert p == pytest.approx(sum(t.predictProbability(features)[1] for t in last.trees) / 12)
+    path = str(tmp_path / "lots")
+    model.save_model(forest, path)
+    again = trees.with_given(few, model.load_model(path), "given").orderBy("row").select("given.probability").collect()
+    assert [r[0] for r in again] == own
+    assert sum(r.importance for r in model.feature_importance(forest).collect()) == pytest.approx(1, abs=1e-4)
+    scored = model.score(model.test_rows(table), forest, decimals=None)
+    assert evaluation.ranking_metrics(evaluation.score_histogram(scored)).first().roc_auc > 0.55
+
+
 def test_comparison(table, models):
     rows = model.model_comparison(table, models).collect()
     assert {r.model for r in rows} == set(models)
