@@ -91,6 +91,14 @@ def test_copies_that_lie_near_the_threshold(spark):
     assert len(gone - left) >= 0.9 * len(gone)
 
 
+@pytest.mark.parametrize("shingles", [copies.BLOCK_SHINGLES, 3_000])
+def test_large_groups_are_exact(spark, monkeypatch, shingles):
+    """What no leader links is compared in full, also where a group takes many blocks."""
+    monkeypatch.setattr(copies, "BLOCK_SHINGLES", shingles)
+    texts = edited(Random(8), 300, 4)
+    assert left_of(spark, texts) == set(plain_roots(texts).values())
+
+
 def test_small_groups_are_exact(spark, monkeypatch):
     """Where every group is small, all that brute force links is linked."""
     monkeypatch.setattr(copies, "SMALL", 400)
