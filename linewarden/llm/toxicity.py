@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from linewarden.llm.common import LEAN_STEP, WordTable, as_bytes, in_fold, labelled_sample, slices, steps, sums, words_of
 
-#: Labelled rows that a model is fitted on at most, about.
+#: Labelled rows that a model is fitted on at most, about, unless a caller wants all.
 SAMPLE_ROWS = 12_000
 #: Words between an insult and an address that count as near.
 REACH = 6
@@ -54,6 +55,8 @@ PROFANE = frozenset(
 # Words that address the reader, by language.
 ADDRESS = frozenset("you your yours yourself u ur du dich dir dein deine ihr tu toi ton ta te vous votre tú ti usted".split())
 COUNTED = pa.schema([("stem", pa.string()), ("texts", pa.int64())])
+#: Stems that a task counts, about, before it hands them on.
+COUNTED_STEMS = 20_000
 LOOKALIKES = str.maketrans("013457@$!|", "oieastasil")
 FEATURES = (
     "log_words", "stems", "stem_density", "insults", "insult_density", "profane_density", "obfuscated", "near_address",
@@ -94,16 +97,19 @@ def word_traits(word: bytes, stems: frozenset[str] = frozenset()) -> tuple[float
 
 
 def learn_stems(sample: DataFrame) -> frozenset[str]:
-    """Stems that mark toxic texts in a bounded sample of (text, label); equal texts count once."""
+    """Stems that mark toxic texts among rows of (text, label); equal texts count once."""
     once = sample.groupBy(F.xxhash64("text").alias("key")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
 
     def counted(among: frozenset[str] | None):
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: Counter[str] = Counter()
-            for batch in batches:
+            for batch in slices(batches, 200):
                 for text in as_bytes(batch.column(0)):
                     own = {s for w in set(text.split()) for s in stems_of(core_of(w))}
                     seen.update(own if among is None else own & among)
+                if len(seen) > COUNTED_STEMS:
+                    yield pa.RecordBatch.from_pydict({"stem": list(seen), "texts": list(seen.values())}, COUNTED)
+                    seen.clear()
             yield pa.RecordBatch.from_pydict({"stem": list(seen), "texts": list(seen.values())}, COUNTED)
 
         return count
@@ -188,8 +194,8 @@ def margin(raw: str) -> Column:
     return vector_to_array(raw)[1]
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Learns `labels.toxic` from about `rows` labelled documents at most, outside the held-out fold.
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, rows: int | None = SAMPLE_ROWS) -> ToxicityModel:
+    """Learns `labels.toxic` from about `rows` labelled documents at most (None: from all), outside the held-out fold.
 
     Four fifths of them grow the trees, the rest fit the calibration. Without both classes among the trees' rows
     the score is the share of toxic labels, 0 without labels.
@@ -197,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, rows:
     calibrating = in_fold(F.concat(F.col("doc_id").cast("string"), F.lit("-calibration")), 5, 0)
     sample = labelled_sample(docs, labels, "toxic", lambda key: ~in_fold(key, folds, held), rows).withColumn(
         "calibrating", calibrating
-    ).persist()
+    ).persist(StorageLevel.DISK_ONLY)
     try:
         growing = sample.where("NOT calibrating")
         classes = {r["label"]: r["n"] for r in growing.groupBy("label").agg(F.count("*").alias("n")).collect()}
